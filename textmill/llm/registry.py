@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from textmill.llm import sharding
+from textmill.llm import packing, sharding
 
 QUERIES = {
+    "op3_minimum_bin_slack": packing.op3_minimum_bin_slack,
     "op2_bounded_ring": sharding.op2_bounded_ring,
 }
 
