@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from textmill.llm import packing, sharding
+from textmill.llm import decontaminate, packing, sharding
 
 QUERIES = {
+    "op6_winnowing": decontaminate.op6_winnowing,
     "op3_minimum_bin_slack": packing.op3_minimum_bin_slack,
     "op2_bounded_ring": sharding.op2_bounded_ring,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_winnowing": decontaminate.OP6_SQL,
+}
