@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from textmill.llm import decontaminate, packing, sharding
+from textmill.llm import decontaminate, packing, quality_rules, sharding
 
 QUERIES = {
+    "op1_distribution_divergence": quality_rules.op1_distribution_divergence,
     "op6_winnowing": decontaminate.op6_winnowing,
     "op3_minimum_bin_slack": packing.op3_minimum_bin_slack,
     "op2_bounded_ring": sharding.op2_bounded_ring,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_distribution_divergence": quality_rules.OP1_SQL,
     "op6_winnowing": decontaminate.OP6_SQL,
 }
