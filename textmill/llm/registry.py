@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from textmill.llm import decontaminate, packing, quality_rules, sharding
+from textmill.llm import decontaminate, packing, quality_rules, secrets, sharding
 
 QUERIES = {
+    "op8_credential_links": secrets.op8_credential_links,
     "op1_distribution_divergence": quality_rules.op1_distribution_divergence,
     "op6_winnowing": decontaminate.op6_winnowing,
     "op3_minimum_bin_slack": packing.op3_minimum_bin_slack,
