@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from textmill.llm import decontaminate, packing, quality_rules, secrets, sharding
+from textmill.llm import decontaminate, neardup, packing, quality_rules, secrets, sharding
 
 QUERIES = {
+    "op10_lsh_forest": neardup.op10_lsh_forest,
     "op8_credential_links": secrets.op8_credential_links,
     "op1_distribution_divergence": quality_rules.op1_distribution_divergence,
     "op6_winnowing": decontaminate.op6_winnowing,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op10_lsh_forest": neardup.OP10_SQL,
     "op1_distribution_divergence": quality_rules.OP1_SQL,
     "op6_winnowing": decontaminate.OP6_SQL,
 }
