@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from textmill.llm import decontaminate, neardup, packing, quality_rules, secrets, sharding
+from textmill.llm import decontaminate, neardup, packing, quality_model, quality_rules, secrets, sharding, toxicity
 
 QUERIES = {
+    "op5_additive_model": quality_model.op5_additive_model,
+    "op9_crf_spans": toxicity.op9_crf_spans,
     "op10_lsh_forest": neardup.op10_lsh_forest,
     "op8_credential_links": secrets.op8_credential_links,
     "op1_distribution_divergence": quality_rules.op1_distribution_divergence,
