@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm.common import base_documents
+from textmill.llm.common import base_documents, materialize
 
 MAX_DOCS = 6_000
 CHAIN = 64
@@ -34,20 +34,27 @@ EPOCHS, STEP, RIDGE = 30, 0.3, 1e-4
 #: A form must be in so many toxic documents, and in so few clean ones for each toxic one.
 LEAST_DOCS, MOST_CLEAN = 5, 0.02
 CANDIDATES = 20_000
+#: Share of the toxic documents that makes a form count without the cover.
+COMMON_SHARE = 0.04
 CACHED_WORDS = 400_000
 THRESHOLD = 0.7
 EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”’…"
 
 
+#: Lengths of the beginnings of words that are tried as stems.
+STEMS = range(4, 9)
+
+
 def forms(word: str) -> list[str]:
-    """The word and its beginnings of four and five letters."""
-    return [word, *(f"{word[:k]}-" for k in (4, 5) if len(word) > k)]
+    """The word and its beginnings."""
+    return [word, *[f"{word[:k]}-" for k in STEMS if len(word) > k]]
 
 
-def feature_ids(word: str) -> list[int]:
+def feature_ids(word: str, lexicon: set[str]) -> list[int]:
     import xxhash
 
-    names = (f"w{word}", f"3{word[:3]}", f"4{word[:4]}", f"5{word[:5]}", f"e{word[-3:]}", "b")
+    listed = not lexicon.isdisjoint(forms(word))
+    names = (f"w{word}", f"4{word[:4]}", f"6{word[:6]}", f"e{word[-3:]}", f"l{listed}", "b")
     return [xxhash.xxh32_intdigest(x) >> (32 - BITS) for x in names]
 
 
@@ -63,7 +70,9 @@ def cover(toxic: list[set[str]], clean: Counter, n_clean: int) -> set[str]:
     good = {f for f, n in seen.items() if n >= least and clean[f] * scale <= MOST_CLEAN * n}
     good = set(sorted(good, key=lambda f: (-seen[f], f))[:CANDIDATES])
     left = [t & good for t in toxic]
-    picked: set[str] = set()
+    # Forms in a good part of the toxic documents count in any case.
+    picked = {f for f in good if seen[f] >= max(least, COMMON_SHARE * len(toxic)) and clean[f] * scale <= MOST_CLEAN / 10 * seen[f]}
+    left = [t for t in left if t.isdisjoint(picked)]
     while True:
         gain = Counter(f for t in left for f in t)
         if not gain:
@@ -76,13 +85,13 @@ def cover(toxic: list[set[str]], clean: Counter, n_clean: int) -> set[str]:
 
 
 class Field:
-    """Emission weights by hashed feature for the toxic state (the other's are 0), and transition scores [from, to]."""
+    """Emission weights by hashed feature for the toxic state (the other's are 0), transition scores [from, to], and the listed forms."""
 
-    def __init__(self, weights: np.ndarray, trans: np.ndarray):
-        self.weights, self.trans = weights, trans
+    def __init__(self, weights: np.ndarray, trans: np.ndarray, lexicon: set[str]):
+        self.weights, self.trans, self.lexicon = weights, trans, lexicon
 
     def emission(self, word: str) -> float:
-        return sum(map(self.weights.item, feature_ids(word)))
+        return sum(map(self.weights.item, feature_ids(word, self.lexicon)))
 
     def marginals(self, emit: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """P(toxic) of each token of chains (rows) of equal length, expected transitions and log Z; ``real`` masks tails of padding."""
@@ -116,9 +125,9 @@ def chains(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(rows, CHAIN), real.reshape(rows, CHAIN)
 
 
-def fit_field(sentences: list[tuple[list[str], list[int]]]) -> Field:
+def fit_field(sentences: list[tuple[list[str], list[int]]], lexicon: set[str]) -> Field:
     """Chains of at most ``CHAIN`` words with their states."""
-    model = Field(np.zeros(1 << BITS), np.zeros((2, 2)))
+    model = Field(np.zeros(1 << BITS), np.zeros((2, 2)), lexicon)
     if not sentences:
         model.weights[:] = -10.0
         return model
@@ -128,7 +137,7 @@ def fit_field(sentences: list[tuple[list[str], list[int]]]) -> Field:
     for i, (ws, states) in enumerate(sentences):
         for t, w in enumerate(ws):
             if w not in index:
-                index[w] = feature_ids(w)
+                index[w] = feature_ids(w, lexicon)
             ids[i, t] = index[w]
         y[i, : len(ws)], real[i, : len(ws)] = states, True
     ys = y.astype(int)
@@ -156,6 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: i
     known = known.select("id", F.col(label).cast("int").alias("y"))
     pick = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_docs)
     sample = docs.join(F.broadcast(pick(1).union(pick(0))), "id")
+    # Of copies and near copies, which would make any rare word look common, one is enough to learn from.
+    sample = materialize(sample.withColumn("opening", F.substring("text", 1, 60)).dropDuplicates(["opening", "y"]).drop("opening"), "toxicity")
 
     def seen_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: i
 
     spread = sample.select("text", "y").mapInArrow(seen_words, "words array<string>, y int")
     flat = spread.select(F.explode("words").alias("w"), "y")
-    named = F.explode(F.concat(F.array("w"), *[F.when(F.length("w") > k, F.array(F.concat(F.substring("w", 1, k), F.lit("-")))).otherwise(F.array().cast("array<string>")) for k in (4, 5)]))
+    named = F.explode(F.concat(F.array("w"), *[F.when(F.length("w") > k, F.array(F.concat(F.substring("w", 1, k), F.lit("-")))).otherwise(F.array().cast("array<string>")) for k in STEMS]))
     counts = flat.select(named.alias("form"), "y").groupBy("form").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
     n_toxic, n_clean = (sample.where(F.col("y") == y).count() for y in (1, 0))
     least = max(LEAST_DOCS, n_toxic // 500)
@@ -196,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: i
     toxic = [set(r[0]) for r in sample.where("y = 1").select("text").mapInArrow(known_forms, "forms array<string>").collect()]  # max_docs rows
     picked = cover(toxic, clean, n_clean)
     rows = sample.select("text", "y").mapInArrow(first_chains, "words array<string>, y array<int>").limit(4 * max_docs).collect()
-    return fit_field([(r["words"], r["y"]) for r in rows if r["words"]])
+    return fit_field([(r["words"], r["y"]) for r in rows if r["words"]], picked)
 
 
 def tagged(docs: DataFrame, model: Field) -> DataFrame:
