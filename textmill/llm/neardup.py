@@ -214,6 +214,16 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return out.select("id", "n", F.coalesce("root", "id").alias("component"))
 
 
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` of which one stays for each component: the one of the smallest id. Rows with a null id stay."""
+    found = forest_components(docs.where(F.col(key).isNotNull()), key, text)
+    stay = materialize(found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    out = docs.join(stay.select(F.col("id").alias(key)), key, "left_semi")
+    if stay.where("rows > 1").head(1):  # repeated ids: equal texts of one id are copies as well
+        out = out.dropDuplicates([key, text])
+    return out.unionByName(docs.where(F.col(key).isNull())).select(*docs.columns)
+
+
 def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = forest_components(base_documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))

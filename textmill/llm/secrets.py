@@ -103,8 +103,22 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["rank"]), s["start"], s["end"])), ",")
 
 
+def found_spans(text: Column, scope: int = SCOPE) -> Column:
+    """Strong spans and linked weak spans of one text, by start: what ``scan`` finds, within the row."""
+    secret = lambda s: s["rank"].isin(0, 2, 4)
+    near = lambda s, p: (secret(s) != secret(p)) & (p["start"] - s["end"] <= scope) & (s["start"] - p["end"] <= scope)
+
+    def both(base: Column) -> Column:
+        def linked(extra: Column) -> Column:
+            return let(F.concat(base, extra), lambda parts: F.filter(extra, lambda s: F.exists(parts, lambda p: near(s, p))))
+
+        return F.sort_array(F.concat(base, let(_outside(weak(text), base), linked)))
+
+    return let(strong(text), both)
+
+
 def redact(text: Column, mask: str = "[SECRET]") -> Column:
-    """The text with each strong finding replaced; overlapping ones give one mask."""
+    """The text with each finding replaced; overlapping ones give one mask. Null stays null."""
 
     def cut(spans: Column) -> Column:
         def step(a: Column, s: Column) -> Column:
@@ -115,7 +129,7 @@ def redact(text: Column, mask: str = "[SECRET]") -> Column:
         done = lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1))
         return F.when(F.size(spans) > 0, F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, done)).otherwise(text)
 
-    return let(strong(F.coalesce(text, F.lit(""))), cut)
+    return F.when(text.isNotNull(), let(found_spans(text), cut))
 
 
 def op8_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
