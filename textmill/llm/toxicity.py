@@ -93,7 +93,7 @@ class Field:
     def emission(self, word: str) -> float:
         return sum(map(self.weights.item, feature_ids(word, self.lexicon)))
 
-    def marginals(self, emit: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def marginals(self, emit: np.ndarray, real: np.ndarray, pairs: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """P(toxic) of each token of chains (rows) of equal length, expected transitions and log Z; ``real`` masks tails of padding."""
         n, size = emit.shape
         alpha = np.zeros((size, n, 2))
@@ -105,17 +105,16 @@ class Field:
             step[:, 1] += emit[:, t]
             alpha[t] = np.where(real[:, t, None], step, a)
         z = np.logaddexp(alpha[-1, :, 0], alpha[-1, :, 1])
-        pairs = np.zeros((2, 2))
+        moves = np.zeros((2, 2))
         for t in range(size - 2, -1, -1):
             b = beta[t + 1].copy()
             b[:, 1] += emit[:, t + 1]
             step = np.stack([np.logaddexp(self.trans[i, 0] + b[:, 0], self.trans[i, 1] + b[:, 1]) for i in (0, 1)], 1)
             beta[t] = np.where(real[:, t + 1, None], step, beta[t + 1])
-            for i in (0, 1):
-                for j in (0, 1):
-                    pairs[i, j] += np.exp(alpha[t, :, i] + self.trans[i, j] + b[:, j] - z)[real[:, t + 1]].sum()
+            for i, j in ((0, 0), (0, 1), (1, 0), (1, 1)) if pairs else ():
+                moves[i, j] += np.exp(alpha[t, :, i] + self.trans[i, j] + b[:, j] - z)[real[:, t + 1]].sum()
         toxic = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z).T * real
-        return toxic, pairs, z
+        return toxic, moves, z
 
 
 def chains(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,37 +222,49 @@ def tagged(docs: DataFrame, model: Field) -> DataFrame:
                 found = self[token] = field.emission(word) if word else -20.0
                 return found
 
+        def score_block(held: list[tuple[int, str, np.ndarray]], scores: np.ndarray, spans: list[list]) -> None:
+            cut = [chains(emit) for _, _, emit in held]
+            if not cut:
+                return
+            toxic = field.marginals(np.concatenate([c[0] for c in cut]), np.concatenate([c[1] for c in cut]), pairs=False)[0]
+            at = 0
+            for (i, text, emit), c in zip(held, cut, strict=True):
+                own = toxic[at : at + len(c[0])].ravel()[: len(emit)]
+                at += len(c[0])
+                scores[i] = own.max()
+                if scores[i] >= 0.5:
+                    spans[i] = [{"start": m.start(), "end": m.end(), "p": float(p)} for m, p in zip(_TOKEN.finditer(text), own, strict=True) if p >= 0.5]
+
         known = Emissions()
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
         for batch in batches:
+            scores, spans = np.zeros(batch.num_rows), [[] for _ in range(batch.num_rows)]
+            held: list[tuple[int, str, np.ndarray]] = []
+            size = 0
+            for i in range(batch.num_rows):
+                text = batch.column(1)[i].as_py() or ""
+                tokens = text.split()
+                if not tokens:
+                    continue
+                held.append((i, text, np.fromiter(map(known.__getitem__, tokens), float, len(tokens))))
+                size += len(tokens)
+                if size > BLOCK or i == batch.num_rows - 1:
+                    score_block(held, scores, spans)
+                    held, size = [], 0
+            score_block(held, scores, spans)
             if len(known) > CACHED_WORDS:
                 known.clear()
-            texts = [x.as_py() or "" for x in batch.column(1)]
-            emits = [np.fromiter(map(known.__getitem__, ws), float, len(ws)) for ws in map(str.split, texts)]
-            cut = [chains(e) for e in emits]
-            starts = np.cumsum([0] + [len(c[0]) for c in cut])
-            scores, spans = np.zeros(len(texts)), [[] for _ in texts]
-            if starts[-1]:
-                toxic = field.marginals(np.concatenate([c[0] for c in cut]), np.concatenate([c[1] for c in cut]))[0]
-                for i, text in enumerate(texts):
-                    own = toxic[starts[i] : starts[i + 1]].ravel()[: len(emits[i])]
-                    if len(own):
-                        scores[i] = own.max()
-                        if scores[i] >= 0.5:
-                            spans[i] = [{"start": m.start(), "end": m.end(), "p": float(p)} for m, p in zip(_tokens(text), own, strict=True) if p >= 0.5]
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
             yield pa.record_batch([batch.column(0), pa.array(np.clip(scores, 0, 1)), pa.array(spans, kind)], names=["id", "score", "spans"])
 
     return docs.mapInArrow(tag, "id long, score double, spans array<struct<start:long,end:long,p:double>>")
 
 
+#: Tokens whose chains are tagged at once.
+BLOCK = 150_000
 #: What str.split() takes for white space is ``\s`` of Python's own expressions.
 _TOKEN = re.compile(r"\S+")
 
 
-def _tokens(text: str) -> Iterator[re.Match]:
-    return _TOKEN.finditer(text)
-
-
 def op9_crf_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base_documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("id"), "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"), "toxic")
