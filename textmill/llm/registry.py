@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from textmill.llm import decontaminate, neardup, ngram, packing, quality_model, quality_rules, secrets, sharding, toxicity
+from textmill.llm import decontaminate, neardup, ngram, packing, quality_model, quality_rules, secrets, sharding, substring_dedup, toxicity
 
 QUERIES = {
+    "op4_column_suffixes": substring_dedup.op4_column_suffixes,
     "op7_elias_fano_trie": ngram.op7_elias_fano_trie,
     "op5_additive_model": quality_model.op5_additive_model,
     "op9_crf_spans": toxicity.op9_crf_spans,
