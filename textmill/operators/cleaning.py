@@ -47,9 +47,9 @@ def split(df: DataFrame, key: str, stratum: Column | None = None, seed: int = 42
     base = base.withColumn("__group", F.substring("__hash", 1, 2)).drop("__size")
     groups = base.groupBy("__stratum", "__group").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("__stratum").orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(F.col("__stratum").alias("s"), F.col("__group").alias("g"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"), F.sum("n").over(Window.partitionBy("__stratum")).alias("__n"))
+    groups = groups.select(F.col("__stratum").alias("__s"), F.col("__group").alias("__g"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"), F.sum("n").over(Window.partitionBy("__stratum")).alias("__n"))
     rank = F.row_number().over(Window.partitionBy("__stratum", "__group").orderBy("__hash", key))
-    out = base.withColumn("__rank", rank).join(groups, F.col("__stratum").eqNullSafe(F.col("s")) & (F.col("__group") == F.col("g")))
+    out = base.withColumn("__rank", rank).join(groups, F.col("__stratum").eqNullSafe(F.col("__s")) & (F.col("__group") == F.col("__g")))
     place = F.col("__before") + F.col("__rank")
     first, second = F.floor(F.col("__n") * train), F.floor(F.col("__n") * train) + F.floor(F.col("__n") * validation)
     out = out.withColumn("split", F.when(place <= first, "train").when(place <= second, "validation").otherwise("test"))

@@ -27,7 +27,7 @@ def numbered_lines(spark: SparkSession, path: str, schema: str, glob: str = "*")
 
     Line numbers need each file whole, so this is for files of moderate size; ``json_lines`` splits large ones.
     """
-    text = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True)
     rows = text.select(F.col("_metadata.file_name").alias("source_file"), F.posexplode(F.split("value", "\n")).alias("at", "line"))
     rows = rows.where(F.trim("line") != "").withColumn("r", F.from_json("line", schema, {"mode": "PERMISSIVE"}))
     rows = rows.where(F.col("r").isNotNull() & F.try_variant_get(F.try_parse_json("line"), "$", "string").isNotNull())

@@ -31,7 +31,7 @@ def windows(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def token_archives(df: DataFrame, path: str, group: str = "file") -> DataFrame:
+def token_archives(df: DataFrame, group: str = "file") -> DataFrame:
     """``.npz`` bytes of each file's windows, padded to the longest: file, content; write them where the archive is wanted."""
     import io
 
