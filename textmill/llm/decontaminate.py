@@ -98,7 +98,7 @@ def find_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     fingerprints = longs
     if lengths:
         shorts = windows.where(F.col("size") < window)
-        longest = F.array_sort(F.transform(words_of, lambda w: F.struct(-F.length(w), w)))[0]["col2"]
+        longest = F.array_sort(F.transform(words_of, lambda w: F.struct((-F.length(w)).alias("size"), w.alias("word"))))[0]["word"]
         shorts = shorts.select(longest.alias("anchor")).distinct()
         anchors = [r[0] for r in shorts.limit(ANCHORS + 1).collect()]
         anchors = anchors if len(anchors) <= ANCHORS else None
