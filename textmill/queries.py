@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import bpe
 from textmill.functions import text as T
-from textmill.operators import cleaning, progress, records, sequences, tuning
+from textmill.operators import cleaning, progress, records, reports, sequences, tuning
 from textmill.plans import pipelines, planner
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,3 +599,92 @@ def compression(spark, sf_dir):
 @query("file_inventory")
 def file_inventory(spark, sf_dir):
     return progress.inventory_by_extension(progress.inventory(spark, sf_dir, "*.parquet"))
+
+
+# Reports ------------------------------------------------------------------------------------------
+
+SQL_FILES = "files AS (SELECT source || CASE WHEN doc_id % 2 = 0 THEN '_comments' ELSE '_submissions' END || '.zst' AS name, n_chars AS size, CASE WHEN doc_id % 11 > 0 THEN n_chars // 100 END AS sequences FROM documents)"
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A made-up list of dump files: one for each document."""
+    kind = F.when(F.col("doc_id") % 2 == 0, "_comments.zst").otherwise("_submissions.zst")
+    return documents(spark, sf_dir).select(F.concat("source", kind).alias("name"), F.col("n_chars").alias("size"), F.when(F.col("doc_id") % 11 > 0, F.expr("n_chars div 100")).alias("sequences"))
+
+
+@query("dump_inventory", f"WITH {SQL_FILES} SELECT regexp_replace(name, '_(comments|submissions)\\.zst$', '') AS subreddit, count(*) AS files, round(sum(size) / 1048576, 6) AS mb, CAST(floor(sum(size) / 500) AS BIGINT) AS estimated_records, max(contains(name, '_comments')) AS has_comments, max(contains(name, '_submissions')) AS has_submissions FROM files GROUP BY 1")
+def dump_inventory(spark, sf_dir):
+    return reports.dump_inventory(_files(spark, sf_dir))
+
+
+@query("record_estimate", "SELECT count(*) AS sampled, round(avg(strlen(text)), 6) AS mean_bytes, CAST(floor(1073741824 / avg(strlen(text))) AS BIGINT) AS estimated_records FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 100)")
+def record_estimate(spark, sf_dir):
+    return reports.record_estimate(documents(spark, sf_dir).select("doc_id", "text"), F.lit(1073741824), "doc_id", "text")  # the first 100 lines are the feature
+
+
+@query("json_share", "SELECT count(*) AS sampled, count(*) FILTER (json_valid(props)) AS parsed, count(*) FILTER (json_valid(props)) * 10 > count(*) * 8 AS json_lines FROM (SELECT props FROM events ORDER BY event_id LIMIT 10)")
+def json_share(spark, sf_dir):
+    return reports.json_share(table(spark, sf_dir, "events").select("event_id", "props"), "props", "event_id")
+
+
+@query("sequence_totals", f"WITH {SQL_FILES}, t AS (SELECT count(sequences) AS valid, count(*) - count(sequences) AS failed, CAST(coalesce(sum(sequences), 0) AS BIGINT) AS sequences FROM files) SELECT valid, failed, sequences, sequences // valid AS per_file, sequences * 256 AS estimated_tokens, CASE WHEN valid >= 700 THEN 'ready' WHEN valid >= 500 THEN 'nearly' ELSE 'not ready' END AS readiness FROM t")
+def sequence_totals(spark, sf_dir):
+    return reports.sequence_totals(_files(spark, sf_dir))
+
+
+@query("token_extrapolation", f"WITH {SQL_FILES} SELECT round(avg(sequences), 6) AS avg_tokens_per_file, round(avg(CASE WHEN sequences IS NULL THEN 1.0 ELSE 0.0 END), 6) AS corruption_rate, round(avg(sequences) * 5000 * (1 - avg(CASE WHEN sequences IS NULL THEN 1.0 ELSE 0.0 END)), 2) AS total_tokens FROM files")
+def token_extrapolation(spark, sf_dir):
+    return reports.token_extrapolation(_files(spark, sf_dir), 5000, "sequences")
+
+
+@query("operation_times", "SELECT event_type, round(avg(value), 6) AS avg, max(value) AS max, min(value) AS min, count(*) AS calls FROM events GROUP BY event_type")
+def operation_times(spark, sf_dir):
+    return reports.operation_times(table(spark, sf_dir, "events").select("event_type", "value"), "event_type", "value")
+
+
+@query("metric_means", "SELECT round(avg(quality), 6) AS quality, round(avg(nullif(toxic, 0)), 6) AS toxic FROM labels")
+def metric_means(spark, sf_dir):
+    return reports.mean_of_present(table(spark, sf_dir, "labels").select("quality", F.nullif("toxic", F.lit(0)).alias("toxic")), ["quality", "toxic"])
+
+
+@query("newest_checkpoints", "SELECT event_id AS step, value AS loss FROM events ORDER BY event_id DESC LIMIT 5")
+def newest_checkpoints(spark, sf_dir):
+    return reports.keep_newest(table(spark, sf_dir, "events").select(F.col("event_id").alias("step"), F.col("value").alias("loss")), 5)
+
+
+@query("vocabulary_coverage", f"WITH x AS (SELECT lang, unnest({sql_words('text')}) AS w FROM documents), v AS (SELECT DISTINCT w FROM x WHERE lang = 'en'), c AS (SELECT w, count(*) AS n FROM x GROUP BY w) SELECT round(sum(CASE WHEN v.w IS NULL THEN 0 ELSE n END) / sum(n), 6) AS token_coverage, round(avg(CASE WHEN v.w IS NULL THEN 0.0 ELSE 1.0 END), 6) AS type_coverage FROM c LEFT JOIN v ON c.w = v.w")
+def vocabulary_coverage(spark, sf_dir):
+    tokens = documents(spark, sf_dir).select("lang", F.explode(T.words(F.col("text"))).alias("w"))
+    return reports.vocabulary_coverage(tokens, tokens.where("lang = 'en'"), "w")
+
+
+@query("quality_tiers", f"WITH {SQL_POSTS} SELECT CASE WHEN score >= 50 THEN 'high' WHEN score >= 10 THEN 'medium' WHEN score >= 1 THEN 'basic' ELSE 'none' END AS tier, count(*) AS posts FROM posts GROUP BY 1")
+def quality_tiers(spark, sf_dir):
+    return pipelines.corpus(spark, sf_dir).groupBy(reports.tier(F.col("score")).alias("tier")).agg(F.count(F.lit(1)).alias("posts"))
+
+
+@query("seeded_shuffle", "SELECT doc_id, md5(CAST(doc_id AS VARCHAR) || '-42') AS place FROM documents")
+def seeded_shuffle(spark, sf_dir):
+    rows = documents(spark, sf_dir).select("doc_id", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("-42")).cast("binary")).alias("place"))
+    return rows.repartitionByRange("place").sortWithinPartitions("place")
+
+
+@query("lora_parameters", "SELECT CAST(r AS BIGINT) AS rank, CAST(r * (2048 + 8192) AS BIGINT) AS parameters FROM range(1, 65) t(r)")
+def lora_parameters(spark, sf_dir):
+    return spark.range(1, 65).select(F.col("id").alias("rank"), planner.low_rank_parameters(F.col("id"), F.lit(2048).cast("long"), F.lit(8192).cast("long")).alias("parameters"))
+
+
+@query("cleaning_plan", "SELECT n AS records, CASE WHEN n > 1000000 THEN 5000 WHEN n > 500000 THEN 3000 ELSE 2000 END AS batch_size, CAST(CASE WHEN n > 1000000 THEN greatest(2, least(8, n // 100000)) WHEN n > 500000 THEN 4 ELSE 2 END AS BIGINT) AS n_workers FROM (SELECT n_chars * 1000 AS n FROM documents)")
+def cleaning_plan(spark, sf_dir):
+    n = F.col("records")
+    plan = planner.cleaning(n)
+    return documents(spark, sf_dir).select((F.col("n_chars") * 1000).alias("records")).select("records", plan["batch_size"].alias("batch_size"), plan["n_workers"].cast("long").alias("n_workers"))
+
+
+@query("local_training_plan", """SELECT t AS tokens, CAST(e AS DOUBLE) AS target_epochs, CAST(k AS BIGINT) AS recommended_steps, CAST(greatest(100, floor(k / 15)) AS BIGINT) AS save_steps, CAST(greatest(10, floor(k / 100)) AS BIGINT) AS logging_steps, round(k / 5.0 / 3600, 6) AS hours
+FROM (SELECT t, e, floor(s / greatest(100, floor(s / 20))) * greatest(100, floor(s / 20)) AS k FROM (SELECT t, e, least(floor(floor(t / 32768) * e), 50000) AS s FROM (SELECT t, CASE WHEN t > 10000000000 THEN 0.5 WHEN t > 1000000000 THEN 1.0 ELSE 2.5 END AS e FROM (SELECT n_chars * 1000000 AS t FROM documents))))""")
+def local_training_plan(spark, sf_dir):
+    tokens = documents(spark, sf_dir).select((F.col("n_chars") * 1_000_000).alias("tokens"))
+    plan = planner.local_training(F.col("tokens"))
+    plan["target_epochs"] = plan["target_epochs"].cast("double")
+    return tokens.select("tokens", *[c.alias(k) for k, c in plan.items()])
