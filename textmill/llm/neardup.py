@@ -203,7 +203,7 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     pairs = materialize(pairs, "candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     # A repeated id may have several texts; the node's own is the one whose sequence it stands for.
-    sets = materialize(docs.join(wanted, "id", "left_semi").mapInArrow(_sets, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams")), "shingles")
+    sets = materialize(docs.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams")), "shingles")
     first = components(confirmed(pairs.where("kind = 0"), sets))
     root = lambda side: first.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     rest = pairs.where("kind = 1").join(root("a"), "a", "left").join(root("b"), "b", "left")
