@@ -5,7 +5,8 @@ Consecutive windows with one minimizer form a segment, and two equal windows hav
 So segments are grouped by minimizer:
 
 * a segment whose minimizer occurs once has no repeated window;
-* of segments with equal bytes, all but the first are repeated as a whole (found by hash, with no text moved);
+* of segments with equal bytes, all but the first are repeated as a whole (found by hash, with no text moved; those of one block
+  of rows are settled before the shuffle, so that very common lines and copies do not meet in one task);
 * the first ones of minimizers with several different segments are compared byte by byte.
 
 For the last kind, the segments of a task are aligned at their minimizers and inserted a column at a time, from the right:
@@ -76,11 +77,23 @@ def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
+def _combined(mini: np.ndarray, content: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    """Rows of one block; of equal segments all but the first are marked as repeated, and get a key of their own that spreads them."""
+    order = np.lexsort((start, ids, content, mini))
+    mini, content, ids, start, size = (c[order] for c in (mini, content, ids, start, size))
+    fresh = np.r_[True, (mini[1:] != mini[:-1]) | (content[1:] != content[:-1])]
+    first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    keep = fresh | (ids != ids[first]) | (start != start[first])  # else the same row once more
+    mixed = (ids.view(np.uint64) * _STEP[6] + start.view(np.uint64)) * _STEP[7]
+    mini = np.where(fresh, mini, (mixed ^ (mixed >> np.uint64(29))).view(np.int64))
+    columns = (mini, content, ids, start, size, (~fresh).astype(np.int64))
+    return pa.record_batch([pa.array(c[keep]) for c in columns], names=["mini", "content", "id", "start", "size", "known"])
+
+
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each segment: minimizer, content hash, document, start, windows and place of the minimizer (packed)."""
+    """A row for each segment: minimizer, content hash, document, start, windows and place of the minimizer (packed), known to be repeated."""
     import xxhash
 
-    names = ["mini", "content", "id", "start", "size"]
     for batch in batches:
         held: list[list[np.ndarray]] = [[], [], [], [], []]
         rows = 0
@@ -95,11 +108,11 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for column, v in zip(held, (mini, content.view(np.int64), np.full(len(start), batch.column(0)[i].as_py(), np.int64), start, (windows << 8) | place), strict=True):
                 column.append(v)
             rows += len(start)
-            if rows > 200_000:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in held], names=names)
+            if rows > 400_000:
+                yield _combined(*[np.concatenate(c) for c in held])
                 held, rows = [[], [], [], [], []], 0
         if rows:
-            yield pa.record_batch([pa.array(np.concatenate(c)) for c in held], names=names)
+            yield _combined(*[np.concatenate(c) for c in held])
 
 
 STRING = "mini long, id long, start long, windows int, place int, bytes binary"
@@ -251,14 +264,14 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """id, start, windows: runs of windows of ``docs`` (id, text) that occur earlier."""
-    found = docs.mapInArrow(_found, "mini long, content long, id long, start long, size long")
+    found = docs.mapInArrow(_found, "mini long, content long, id long, start long, size long, known long")
     own = Window.partitionBy("mini")
     ordered = own.orderBy("content", "id", "start")
     before = F.lag(F.struct("content", "id", "start")).over(ordered)
     found = found.withColumns({"before": before, "least": F.min("content").over(own), "most": F.max("content").over(own)})
     same = F.col("before.content") == F.col("content")
     again = same & (F.col("before.id") == F.col("id")) & (F.col("before.start") == F.col("start"))  # the same row once more
-    found = found.withColumn("kind", F.when(again, 0).when(same, 1).when(F.col("least") != F.col("most"), 2).otherwise(0)).where("kind > 0")
+    found = found.withColumn("kind", F.when(F.col("known") == 1, 1).when(again, 0).when(same, 1).when(F.col("least") != F.col("most"), 2).otherwise(0)).where("kind > 0")
     found = materialize(found.select("mini", "id", "start", "size", "kind"), "segments")
     wanted = found.where("kind = 2").groupBy("id").agg(F.collect_list(F.struct("start", "size", "mini")).alias("segments"))
     strings = docs.join(wanted, "id").select("id", "text", "segments").mapInArrow(_strings, STRING)
