@@ -252,7 +252,9 @@ def test_elias_fano():
         assert (ngram.EliasFano(ngram.EliasFano.build(values)).get(np.arange(3000)) == values).all()
 
 
-def test_scores_against_plain_model(spark):
+@pytest.mark.parametrize("shard_words", [500_000, 1])
+def test_scores_against_plain_model(spark, monkeypatch, shard_words):
+    monkeypatch.setattr(ngram, "SHARD_WORDS", shard_words)
     rng = np.random.default_rng(8)
     rows = [(i, " ".join(rng.choice(["a", "B", "b", "c", "dd"], int(rng.integers(0, 60)), p=[0.4, 0.1, 0.2, 0.2, 0.1]))) for i in range(120)] + [(500, None), (501, "unseen words here")]
     toks = {i: words((t or "").translate(CAPITALS)) + ["\n"] for i, t in rows}
@@ -277,9 +279,9 @@ def test_scores_against_plain_model(spark):
         return out
 
     docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
-    trie = ngram.build(docs.where("id < 500"))
+    trie, coded = ngram.build(docs, F.col("id") < 500)
     assert (trie.total, trie.types) == (n, v)
-    for r in ngram.scored(docs, trie).collect():
+    for r in ngram.scored(coded, trie).collect():
         t = toks[r["id"]]
         assert (r["n_tokens"], r["n_known"]) == (len(t), sum(w in c1 for w in t))
         assert abs(r["base_score"] - sum(math.log10((c1[w] + 1) / (n + v + 1)) for w in t)) < 1e-6

@@ -8,12 +8,12 @@ scoring workers:
   counts and back-off weights).
 
 The children of an n-gram are a range of the next level; the ranges' bounds are a monotone sequence in Elias-Fano form (low
-bits packed, high bits in unary with a sampled select directory). A child is found by successor search inside its
+bits in whole bytes, high bits in unary with a rank directory). A child is found by successor search inside its
 context's range. Probabilities are smoothed by absolute discounting with interpolation, so those of a context sum to one;
 n-grams below ``MIN_COUNT`` are pruned and their mass goes to the lower order. Unigrams are add-one over all words.
 
 Counting: workers pre-count each block of tokens, Spark sums, and a shard is written by one task from rows sorted by
-context. An n-gram is counted only if the shorter ones that it contains were kept, which loses none (counts fall with
+context. Once the words have ids, documents are kept as codes, so that later rounds read no text. An n-gram is counted only if the shorter ones that it contains were kept, which loses none (counts fall with
 length). Word ids are places in the hash order, so no table of words is ever gathered.
 
 Cases: null and empty texts are one end token; an empty training set scores every token at 1 in 1 (log 0, N = 0); a repeated or null
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm.common import base_documents, shared_dir
+from textmill.llm.common import base_documents, materialize, shared_dir
 
 MIN_COUNT = 3
 DISCOUNT = 0.75
@@ -78,7 +78,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray
 
 
 class EliasFano:
-    """A monotone sequence of integers. Arrays: low (bytes of the low bits), high (64-bit words), sample (place of each 64th one), meta (size, low bits)."""
+    """A monotone sequence of integers. Arrays: low (bytes of the low bits), high (64-bit words), rank (ones before each word), meta (size, low bits)."""
 
     @staticmethod
     def build(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -89,25 +89,17 @@ class EliasFano:
         ones = (values >> bits) + np.arange(n)
         high = np.zeros(int(ones[-1] // 64 + 2) if n else 1, np.uint64)
         np.bitwise_or.at(high, ones // 64, np.uint64(1) << (ones % 64).astype(np.uint64))
-        return {"low": low, "high": high, "sample": ones[::64].astype(np.int64), "meta": np.array([n, bits], np.int64)}
+        rank = np.cumsum(np.bitwise_count(high), dtype=np.int64) - np.bitwise_count(high)
+        return {"low": low, "high": high, "rank": rank, "meta": np.array([n, bits], np.int64)}
 
     def __init__(self, arrays: dict[str, np.ndarray]):
-        self.low, self.high, self.sample = arrays["low"], arrays["high"], arrays["sample"]
+        self.low, self.high, self.rank = arrays["low"], arrays["high"], arrays["rank"]
         self.size, self.bits = (int(x) for x in arrays["meta"])
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        start = self.sample[i >> 6]
-        rest = (i & 63).astype(np.int64)
-        at = start >> 6
-        word = self.high[at] & (~np.uint64(0) << (start & 63).astype(np.uint64))
-        while True:
-            ones = np.bitwise_count(word).astype(np.int64)
-            over = rest >= ones
-            if not over.any():
-                break
-            rest = np.where(over, rest - ones, rest)
-            at = np.where(over, at + 1, at)
-            word = np.where(over, self.high[np.minimum(at, len(self.high) - 1)], word)
+        at = np.searchsorted(self.rank, i, side="right") - 1
+        rest = i - self.rank[at]
+        word = self.high[at]
         place = np.zeros(len(i), np.int64)
         for width in (32, 16, 8, 4, 2, 1):  # the half that holds the wanted one
             part = (word >> place.astype(np.uint64)) & np.uint64((1 << width) - 1)
@@ -156,7 +148,7 @@ def load(uri: str) -> dict[str, np.ndarray]:
 
     store, path = _store(uri)
     out = {}
-    for info in store.get_file_info(fs.FileSelector(path)):
+    for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
         name, dot, kind = info.base_name.rpartition(".")
         if not dot or name.startswith("."):
             continue
@@ -218,12 +210,16 @@ class Trie:
                 continue
             own, place = np.unique(parent[here] - bounds[s], return_inverse=True)
             low, high = table["pointers"].get(own)[place], table["pointers"].get(own + 1)[place]
-            end, want = high.copy(), word[here]
-            while (open_ := low < high).any():  # successor search
-                mid = (low + high) // 2
-                less = open_ & (table["word"][np.minimum(mid, len(table["word"]) - 1)] < want)
-                low, high = np.where(less, mid + 1, low), np.where(open_ & ~less, mid, high)
-            hit = (low < end) & (table["word"][np.minimum(low, len(table["word"]) - 1)] == want)
+            end, want, held = high.copy(), word[here], table["word"]
+            open_ = np.flatnonzero(low < high)
+            while len(open_):  # successor search
+                lo, hi = low[open_], high[open_]
+                mid = (lo + hi) >> 1
+                less = held[mid] < want[open_]
+                low[open_] = lo = np.where(less, mid + 1, lo)
+                high[open_] = hi = np.where(less, hi, mid)
+                open_ = open_[lo < hi]
+            hit = (low < end) & (held[np.minimum(low, len(held) - 1)] == want)
             base = self.second[s] if n == 2 else 0
             out[here[hit]] = low[hit] + base
         return out
@@ -268,35 +264,76 @@ def _follows(size: int, firsts: np.ndarray, back: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
-def _pair_counts(trie: Trie):
+CODED = "id long, codes binary"
+
+
+def _codes(trie: Trie):
+    """Documents as 32-bit codes: a word's id, or -1 - count for words too rare to be in any kept n-gram."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, hashes, firsts in blocks(batches):
+        for ids_, hashes, firsts in blocks(batches):
             ids, counts = _ids(trie, hashes)
-            at = _follows(len(ids), firsts, 1)
-            at = at[(counts[at] >= MIN_COUNT) & (counts[at - 1] >= MIN_COUNT)]
-            yield _counted((ids[at - 1].astype(np.uint64) << np.uint64(32)) | ids[at].astype(np.uint64))
+            codes = np.where(counts >= MIN_COUNT, ids, -1 - counts).astype("<i4")
+            cuts = [*firsts.tolist(), len(codes)]
+            yield pa.record_batch([pa.array(ids_, pa.int64()), pa.array([codes[x:y].tobytes() for x, y in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=["id", "codes"])
+
+    return run
+
+
+def coded_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """ids, codes and first positions of groups of whole documents (id, codes)."""
+    ids, parts, size = [], [], 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids.append(batch.column(0)[i].as_py())
+            parts.append(np.frombuffer(batch.column(1)[i].as_buffer(), "<i4"))
+            size += len(parts[-1])
+            if size >= BLOCK:
+                yield ids, np.concatenate(parts).astype(np.int64), np.cumsum([0] + [len(p) for p in parts[:-1]])
+                ids, parts, size = [], [], 0
+    if ids:
+        yield ids, np.concatenate(parts).astype(np.int64), np.cumsum([0] + [len(p) for p in parts[:-1]])
+
+
+def _packed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
+
+
+def _pair_places(codes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    at = _follows(len(codes), firsts, 1)
+    return at[(codes[at] >= 0) & (codes[at - 1] >= 0)]
+
+
+def _pair_counts(trie: Trie):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, codes, firsts in coded_blocks(batches):
+            at = _pair_places(codes, firsts)
+            yield _counted(_packed(codes[at - 1], codes[at]))
 
     return run
 
 
-def _found_pairs(trie: Trie, ids: np.ndarray, counts: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+def _children(trie: Trie, n: int, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """``child`` of each, searched once for equal ones."""
+    own, place = np.unique(_packed(parent, word), return_inverse=True)
+    return trie.child(n, (own >> np.uint64(32)).astype(np.int64), (own & np.uint64(0xFFFFFFFF)).astype(np.int64))[place]
+
+
+def _found_pairs(trie: Trie, codes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """Level-2 index of the pair that ends at each position, or -1."""
-    out = np.full(len(ids), -1, np.int64)
-    at = _follows(len(ids), firsts, 1)
-    at = at[(counts[at] >= MIN_COUNT) & (counts[at - 1] >= MIN_COUNT)]
-    own, place = np.unique((ids[at - 1].astype(np.uint64) << np.uint64(32)) | ids[at].astype(np.uint64), return_inverse=True)
-    out[at] = trie.child(2, (own >> np.uint64(32)).astype(np.int64), (own & np.uint64(0xFFFFFFFF)).astype(np.int64))[place]
+    out = np.full(len(codes), -1, np.int64)
+    at = _pair_places(codes, firsts)
+    out[at] = _children(trie, 2, codes[at - 1], codes[at])
     return out
 
 
 def _triple_counts(trie: Trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, hashes, firsts in blocks(batches):
-            ids, counts = _ids(trie, hashes)
-            pairs = _found_pairs(trie, ids, counts, firsts)
-            at = _follows(len(ids), firsts, 2)
+        for _, codes, firsts in coded_blocks(batches):
+            pairs = _found_pairs(trie, codes, firsts)
+            at = _follows(len(codes), firsts, 2)
             at = at[(pairs[at] >= 0) & (pairs[at - 1] >= 0)]
-            yield _counted((pairs[at - 1].astype(np.uint64) << np.uint64(32)) | ids[at].astype(np.uint64))
+            yield _counted(_packed(pairs[at - 1], codes[at]))
 
     return run
 
@@ -364,11 +401,11 @@ def _offsets(df: DataFrame, shards: int) -> list[int]:
     return np.cumsum([0] + [sizes.get(s, 0) for s in range(shards)]).tolist()
 
 
-def build(docs: DataFrame, order: int = 3) -> Trie:
-    """The trie of ``docs`` (id, text)."""
+def build(docs: DataFrame, train, order: int = 3) -> tuple[Trie, DataFrame]:
+    """The trie of the rows of ``docs`` (id, text) where ``train`` (a column of id) holds, and all documents as codes (a written table)."""
     spark = docs.sparkSession
     uri = f"{shared_dir(spark)}/ngrams-{uuid.uuid4().hex}"
-    words = docs.mapInArrow(_word_counts, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    words = docs.where(train).mapInArrow(_word_counts, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
     words = words.persist()
     types, total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     bits = max(0, int(np.ceil(np.log2(max(1, types / SHARD_WORDS)))))
@@ -378,47 +415,49 @@ def build(docs: DataFrame, order: int = 3) -> Trie:
     first = _offsets(rows.mapInArrow(_write_words(uri), "shard long, size long"), shards)
     words.unpersist()
     trie = Trie(uri, bits, first, [0] * (shards + 1), total, 1)
+    coded = materialize(docs.mapInArrow(_codes(trie), CODED), "codes")
     for n, count in ((2, _pair_counts), (3, _triple_counts))[: order - 1]:
-        grams = docs.mapInArrow(count(trie), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
+        grams = coded.where(train).mapInArrow(count(trie), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
         bounds = (trie.first if n == 2 else trie.second).tolist()
         parent = F.shiftrightunsigned("k", 32)
-        edges = F.array(*[F.lit(b).cast("long") for b in bounds[1:-1]])  # one for each shard
+        edges = F.array(*[F.lit(b).cast("long") for b in bounds[1:-1]]).cast("array<long>")  # one for each shard
         own = F.size(F.filter(edges, lambda b: b <= parent)).cast("long")
         rows = grams.select(own.alias("shard"), "k", "n").repartition(F.col("shard")).sortWithinPartitions("shard", "k")
         sizes = _offsets(rows.mapInArrow(_write_children(trie, n), "shard long, size long"), shards)
         trie = Trie(uri, bits, first, sizes if n == 2 else trie.second.tolist(), total, n)
-    return trie
+    return trie, coded
 
 
-def scored(docs: DataFrame, trie: Trie) -> DataFrame:
-    """id, n_tokens, n_known, base_score and score of every row of ``docs`` (id, text)."""
+def scored(coded: DataFrame, trie: Trie) -> DataFrame:
+    """id, n_tokens, n_known, base_score and score of every row of ``coded``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids_, hashes, firsts in blocks(batches):
-            ids, counts = _ids(trie, hashes)
+        for ids_, codes, firsts in coded_blocks(batches):
+            counts = -1 - codes
+            kept = np.flatnonzero(codes >= 0)
+            counts[kept] = trie.values(1, codes[kept], None, "count")
             base = np.log10((counts + 1) / (trie.total + trie.types + 1))
             score = base.copy()
             if trie.order > 1:
-                at = _follows(len(ids), firsts, 1)
-                at = at[ids[at - 1] >= 0]
-                pairs = _found_pairs(trie, ids, counts, firsts)
-                score[at] = _mixed(trie, 2, ids[at - 1], pairs[at], None, base[at])
+                at = _follows(len(codes), firsts, 1)
+                at = at[codes[at - 1] >= 0]
+                pairs = _found_pairs(trie, codes, firsts)
+                score[at] = _mixed(trie, 2, codes[at - 1], pairs[at], None, base[at])
                 if trie.order > 2:
-                    at = _follows(len(ids), firsts, 2)
+                    at = _follows(len(codes), firsts, 2)
                     at = at[pairs[at - 1] >= 0]
-                    context = pairs[at - 1]
-                    own, place = np.unique(context.astype(np.uint64) << np.uint64(32) | np.maximum(ids[at], 0).astype(np.uint64), return_inverse=True)
-                    child = trie.child(3, (own >> np.uint64(32)).astype(np.int64), (own & np.uint64(0xFFFFFFFF)).astype(np.int64))[place]
-                    child = np.where(ids[at] >= 0, child, -1)
-                    score[at] = _mixed(trie, 3, context, child, context, score[at])
-            n = np.diff(np.r_[firsts, len(ids)])
+                    child = np.full(len(at), -1, np.int64)
+                    both = np.flatnonzero(pairs[at] >= 0)  # a kept triple has two kept pairs
+                    child[both] = _children(trie, 3, pairs[at - 1][both], codes[at][both])
+                    score[at] = _mixed(trie, 3, pairs[at - 1], child, pairs[at - 1], score[at])
+            n = np.diff(np.r_[firsts, len(codes)])
             known = np.add.reduceat((counts > 0).astype(np.int64), firsts)
             yield pa.record_batch(
                 [pa.array(ids_, pa.int64()), pa.array(n), pa.array(known), pa.array(np.add.reduceat(base, firsts)), pa.array(np.add.reduceat(score, firsts))],
                 names=["id", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    return docs.mapInArrow(run, "id long, n_tokens long, n_known long, base_score double, score double")
+    return coded.mapInArrow(run, "id long, n_tokens long, n_known long, base_score double, score double")
 
 
 def _mixed(trie: Trie, n: int, context: np.ndarray, child: np.ndarray, parent: np.ndarray | None, lower: np.ndarray) -> np.ndarray:
@@ -447,6 +486,6 @@ def _backoff(trie: Trie, n: int, context: np.ndarray) -> np.ndarray:
 def op7_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base_documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("id"), "text")
     fold = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(7))
-    trie = build(docs.where(F.coalesce(fold != 2, F.lit(True))))
-    out = scored(docs, trie)
+    trie, coded = build(docs, F.coalesce(fold != 2, F.lit(True)))
+    out = scored(coded, trie)
     return out.select(F.col("id").alias("doc_id"), F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")
