@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.common import base_documents, materialize
 
-MAX_DOCS = 6_000
+MAX_DOCS = 3_000
 CHAIN = 64
 BITS = 18
 EPOCHS, STEP, RIDGE = 30, 0.3, 1e-4
@@ -37,6 +37,8 @@ CANDIDATES = 20_000
 #: Share of the toxic documents that makes a form count without the cover.
 COMMON_SHARE = 0.04
 CACHED_WORDS = 400_000
+#: Tokens whose chains are tagged at once.
+BLOCK = 150_000
 THRESHOLD = 0.7
 EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”’…"
 
@@ -130,25 +132,24 @@ def fit_field(sentences: list[tuple[list[str], list[int]]], lexicon: set[str]) -
     if not sentences:
         model.weights[:] = -10.0
         return model
-    index: dict[str, list[int]] = {}
-    ids = np.zeros((len(sentences), CHAIN, 6), np.int64)
+    index: dict[str, int] = {}
+    place = np.zeros((len(sentences), CHAIN), np.int32)
     y, real = np.zeros((len(sentences), CHAIN)), np.zeros((len(sentences), CHAIN), bool)
     for i, (ws, states) in enumerate(sentences):
         for t, w in enumerate(ws):
-            if w not in index:
-                index[w] = feature_ids(w, lexicon)
-            ids[i, t] = index[w]
+            place[i, t] = index.setdefault(w, len(index))
         y[i, : len(ws)], real[i, : len(ws)] = states, True
-    ys = y.astype(int)
+    ids = np.array([feature_ids(w, lexicon) for w in index])  # by word
+    ys = y.astype(np.int8)
     inner = real[:, 1:]
     seen = np.array([[((ys[:, :-1] == i) & (ys[:, 1:] == j) & inner).sum() for j in (0, 1)] for i in (0, 1)])
     sums_w, sums_t = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8)
     for _ in range(EPOCHS):
-        emit = model.weights[ids].sum(2) * real
+        emit = model.weights[ids].sum(1)[place] * real
         toxic, pairs, _ = model.marginals(emit, real)
         grad = np.zeros(1 << BITS)
         miss = np.where(real, y - toxic, 0.0)
-        np.add.at(grad, ids.ravel(), np.repeat(miss.ravel(), 6))
+        np.add.at(grad, ids.ravel(), np.repeat(np.bincount(place.ravel(), miss.ravel(), len(ids)), 6))
         grad -= RIDGE * real.sum() / 100 * model.weights
         move = (seen - pairs) - 0.01 * model.trans
         sums_w += grad**2
@@ -179,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: i
                 ws = [b for w in (x.as_py() or "").split() if (b := bare(w))]
                 hits = [i for i, w in enumerate(ws) if not picked.isdisjoint(forms(w))]
                 # Around the first hits of a toxic document; the beginning of a clean one.
-                for at in dict.fromkeys(i // CHAIN for i in (hits[:40] or ([] if label_.as_py() else [0]))):
+                for at in dict.fromkeys(i // CHAIN for i in (hits[:3] or ([] if label_.as_py() else [0]))):
                     out.append(ws[at * CHAIN : (at + 1) * CHAIN])
                     y.append([int(not picked.isdisjoint(forms(w))) for w in out[-1]])
                     if len(out) and label_.as_py() == 0:
@@ -205,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: i
 
     toxic = [set(r[0]) for r in sample.where("y = 1").select("text").mapInArrow(known_forms, "forms array<string>").collect()]  # max_docs rows
     picked = cover(toxic, clean, n_clean)
-    rows = sample.select("text", "y").mapInArrow(first_chains, "words array<string>, y array<int>").limit(4 * max_docs).collect()
+    rows = sample.select("text", "y").mapInArrow(first_chains, "words array<string>, y array<int>").limit(2 * max_docs).collect()
     return fit_field([(r["words"], r["y"]) for r in rows if r["words"]], picked)
 
 
@@ -259,8 +260,6 @@ def tagged(docs: DataFrame, model: Field) -> DataFrame:
     return docs.mapInArrow(tag, "id long, score double, spans array<struct<start:long,end:long,p:double>>")
 
 
-#: Tokens whose chains are tagged at once.
-BLOCK = 150_000
 #: What str.split() takes for white space is ``\s`` of Python's own expressions.
 _TOKEN = re.compile(r"\S+")
 
