@@ -359,6 +359,21 @@ def test_near_duplicates_against_all_pairs(spark, docs):
     assert sorted(kept) == sorted(i for i in ids if find(i) == i)
 
 
+@pytest.mark.parametrize("hub", [20, 150])
+def test_large_groups_around_one_document(spark, hub):
+    rng = np.random.default_rng(hub)
+    base = [f"w{j}" for j in range(204)]  # 200 shingles
+    rows = [(1000 + i, " ".join(base)) for i in [hub]]
+    for i in set(range(301)) - {hub}:
+        own = list(base)
+        for p in rng.choice(40, 4, replace=False) * 5 + 4:  # 20 of 200 shingles: 0.818 to the hub, 0.7 or so to others
+            own[p] = f"new{i}x{p}"
+        rows.append((1000 + i, " ".join(own)))
+    rows += [(5000 + i, " ".join([*base[:80], *[f"other{i}x{j}" for j in range(124)]])) for i in range(40)]  # near nothing
+    out = {r["id"]: r["component"] for r in neardup.forest_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert out == {i: 1000 if i < 5000 else i for i, _ in rows}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}

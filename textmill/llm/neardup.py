@@ -10,6 +10,10 @@ Candidates are confirmed on full shingle sets (64-bit hashes cut to 48 bits; cou
 nodes of regions are confirmed first; of the neighbour pairs only those that would join two components are then
 looked at, until none is left. Links are joined to components by star contraction.
 
+Of a region of more nodes than a node's neighbours, not all pairs have been tried. Where such a region still has several
+components, the nodes outside its main one are compared with all nodes of such regions by an exact prefix-filtered
+search: they are broadcast, part by part, and the others pass by in a map, so no region is gathered in one task and only links are returned.
+
 At similarity 0.75, a pair shares a tree's first three values with probability 0.42, and none of 24 with two in a million.
 
 Cases: texts that are null or without words have no shingles and link with nothing; equal or repeated rows are
@@ -34,6 +38,8 @@ NEIGHBOURS = 8
 NUMERATOR, DENOMINATOR = 75, 100
 #: Word hashes kept by a Python worker.
 CACHED_WORDS = 500_000
+#: Bytes of shingle sets that are broadcast at once.
+SEARCH_BYTES = 32 << 20
 
 _RNG = np.random.default_rng(20240601)
 _MULTIPLY = _RNG.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
@@ -118,11 +124,13 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs from rows sorted by part, key and node; kind 0: with the first node of a region, 1: with others.
 
+    Kind 2: part and node of each row of a region of more than ``NEIGHBOURS + 1``, whose pairs are not all tried.
     Held: the last row, one row for each depth, and the last ``NEIGHBOURS`` rows of the region.
     """
     last: tuple | None = None
     firsts: list[tuple[int, int]] = []
     recent: list[tuple[int, int]] = []
+    size = 0  # rows of the region so far
     open_at = None  # index of the row that firsts and recent end with
     for batch in batches:
         rows = batch.num_rows
@@ -139,7 +147,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in np.flatnonzero(depth >= MIN_DEPTH).tolist():
             if open_at != i - 1:  # the region begins with the row before
                 before = (int(node[i - 1]), int(n[i - 1])) if i else (last[2], last[3])
-                firsts, recent = [before] * (DEPTH + 1), [before]
+                firsts, recent, size = [before] * (DEPTH + 1), [before], 1
             me, d = (int(node[i]), int(n[i])), int(depth[i])
             tried = set()
             main = (firsts[MIN_DEPTH], firsts[d])
@@ -149,6 +157,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     a.append(min(me[0], other[0]))
                     b.append(max(me[0], other[0]))
                     kind.append(k)
+            size += 1
+            for other in [firsts[MIN_DEPTH], *recent, me] if size == NEIGHBOURS + 2 else [me] if size > NEIGHBOURS + 2 else []:
+                a.append(int(part[i]))
+                b.append(other[0])
+                kind.append(2)
             firsts = [*firsts[: d + 1], *[me] * (DEPTH - d)]
             recent = [*recent[1 - NEIGHBOURS :], me]
             open_at = i
@@ -192,6 +205,92 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(left, "b").join(right, "a").select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
 
 
+def _prefix(grams: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Places of the rarest shingles, of which two linked sets share one at least."""
+    n = len(grams)
+    return np.lexsort((grams, seen))[: n + (-NUMERATOR * n) // DENOMINATOR + 1]
+
+
+class _Index:
+    """Nodes with their roots and shingle sets, found by the rarest shingles."""
+
+    def __init__(self, nodes: list[int], roots: list[int], grams: list[bytes]):
+        self.nodes, self.roots = nodes, roots
+        sets = [_unpacked(g) for g in grams]
+        self.sizes = np.array([len(x) for x in sets])
+        self.start = np.cumsum([0, *self.sizes])
+        self.grams, self.place, self.seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        keys, owners = [], []
+        for i, x in enumerate(sets):
+            own = self.place[self.start[i] : self.start[i + 1]]
+            keys.append(own[_prefix(x, self.seen[own])])
+            owners.append(np.full(len(keys[-1]), i))
+        key, owner = np.concatenate(keys), np.concatenate(owners)
+        self.owner = owner[np.argsort(key, kind="stable")]
+        self.bounds = np.cumsum([0, *np.bincount(key, minlength=len(self.grams))])
+        self.mark = np.zeros(len(self.grams), bool)
+        self.up: dict[int, int] = {}
+
+    def find(self, root: int) -> int:
+        while (up := self.up.get(root, root)) != root:
+            self.up[root] = self.up.get(up, up)
+            root = up
+        return root
+
+    def links(self, node: int, root: int, grams: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Pairs with the node that join two components; roots joined by earlier calls count as one."""
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        hit = self.grams[at] == grams
+        rare = _prefix(grams, np.where(hit, self.seen[at], 0))
+        found = [self.owner[self.bounds[k] : self.bounds[k + 1]] for k in at[rare[hit[rare]]]]
+        if not found:
+            return
+        near, n = np.unique(np.concatenate(found)), len(grams)
+        least, most = np.minimum(self.sizes[near], n), np.maximum(self.sizes[near], n)
+        self.mark[at[hit]] = True
+        for i in near[DENOMINATOR * least >= NUMERATOR * most].tolist():
+            x, y = self.find(root), self.find(self.roots[i])
+            if x == y:
+                continue
+            both = int(np.count_nonzero(self.mark[self.place[self.start[i] : self.start[i + 1]]]))
+            if DENOMINATOR * both >= NUMERATOR * (n + int(self.sizes[i]) - both):
+                self.up[max(x, y)] = min(x, y)
+                yield node, self.nodes[i]
+        self.mark[at[hit]] = False
+
+
+def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Links (a, b) between components of the regions in ``members`` (part, node), of which not all pairs were tried; None if there are none to try."""
+    rooted = members.join(roots, "node", "left").select("part", "node", F.coalesce("root", "node").alias("root"))
+    rooted = materialize(rooted, "regions")
+    main = rooted.groupBy("part", "root").agg(F.count(F.lit(1)).alias("rows")).groupBy("part").agg(F.max_by("root", "rows").alias("main"), F.count(F.lit(1)).alias("roots"))
+    split = rooted.join(main.where("roots > 1"), "part").groupBy("node").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside"))
+    tried = materialize(split.join(sets, "node").where(F.length("grams") > 0), "split")
+    outside = tried.where("outside")
+    size = outside.agg(F.sum(F.length("grams") + 16)).first()[0]
+    if not size:
+        return None
+    spark, out = members.sparkSession, None
+    turns = -(-size // SEARCH_BYTES)
+    for turn in range(turns):
+        some = outside.where(F.pmod(F.xxhash64("node"), F.lit(turns)) == turn).select("node", "root", "grams").collect()  # SEARCH_BYTES, about
+        if not some:
+            continue
+        shared = spark.sparkContext.broadcast(tuple(map(list, zip(*some, strict=True))))
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = None
+            for batch in batches:
+                index = index or _Index(*shared.value)
+                found = [p for node, root, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True) for p in index.links(node, root, _unpacked(grams))]
+                yield pa.record_batch([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        links = materialize(tried.select("node", "root", "grams").mapInArrow(search, "a long, b long"), "links")
+        shared.destroy()
+        out = links if out is None else out.union(links)
+    return out
+
+
 def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n (size of the shingle set), component: a row for each row of ``docs``."""
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
@@ -199,9 +298,11 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     nodes = signed.where("n > 0").groupBy("seq").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     rows = nodes.select("node", "n", "sig").mapInArrow(_trees, "part long, key binary, node long, n long")
     ordered = rows.repartition(F.col("part")).sortWithinPartitions("part", "key", "node")
-    pairs = ordered.mapInArrow(_candidates, "a long, b long, kind int").groupBy("a", "b").agg(F.min("kind").alias("kind"))
-    pairs = materialize(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    found = ordered.mapInArrow(_candidates, "a long, b long, kind int").groupBy("a", "b", (F.col("kind") == 2).alias("member")).agg(F.min("kind").alias("kind"))
+    found = materialize(found.select("a", "b", "kind"), "candidates")
+    pairs = found.where("kind < 2")
+    members = found.where("kind = 2").select(F.col("a").alias("part"), F.col("b").alias("node"))
+    wanted = pairs.select(F.col("a").alias("id")).union(found.select("b")).distinct()
     # A repeated id may have several texts; the node's own is the one whose sequence it stands for.
     sets = materialize(docs.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams")), "shingles")
     first = components(confirmed(pairs.where("kind = 0"), sets))
@@ -209,6 +310,9 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rest = pairs.where("kind = 1").join(root("a"), "a", "left").join(root("b"), "b", "left")
     rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     final = components(confirmed(rest, sets).union(first.select("node", "root")))
+    more = rest_of_regions(members, final, sets)
+    if more is not None and more.head(1):
+        final = components(more.union(final.select("node", "root")))
     whole = nodes.select("seq", "node").join(final, "node", "left").select("seq", F.coalesce("root", "node").alias("root"))
     out = signed.select("id", "n", "seq").join(whole, "seq", "left")
     return out.select("id", "n", F.coalesce("root", "id").alias("component"))
