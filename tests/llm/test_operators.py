@@ -321,6 +321,21 @@ def test_weak_parts_are_reported_only_together(spark):
 # 10 --------------------------------------------------------------------------------------------------
 
 
+def test_long_candidates_are_linked_at_all_offsets(spark):
+    token = "a1B2c3D4e5"  # no other kind
+    rows = []
+    for offset in range(0, 400, 23):
+        for size in (40, 100, 200, 390, 1000):
+            for gap in (2, 150, 198, 205):
+                long, mail = token * (size // 10), "someone@mail.example"
+                rows += [". " * (offset // 2) + x + " " * gap + y for x, y in ((long, mail), (mail, long))]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    inside = {r["doc_id"]: [tuple(s) for s in r["s"]] for r in frame.select("doc_id", secrets.found_spans(F.col("text")).alias("s")).collect()}
+    got = {r["doc_id"]: sorted(tuple(s) for s in r["strong"] + r["linked"]) for r in secrets.scan(frame).collect()}
+    assert got == inside
+    assert {len(v) for v in got.values()} == {0, 2}
+
+
 def shingles(text):
     w = words((text or "").translate(CAPITALS))
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k : k + 5]) for k in range(len(w) - 4)}

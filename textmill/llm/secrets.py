@@ -4,7 +4,7 @@ Strong findings (``assign``, ``access``, ``hex``) stand alone. Weak candidates (
 string of some length, an endpoint) are reported only where a complementary part lies within the same scope: an identifier
 or an endpoint needs a secret, and a weak secret needs an identifier or an endpoint. Strong findings count as parts as
 well. The link is an interval join: parts fall into blocks of ``SCOPE`` code points, a candidate meets the parts
-of its own and the neighbouring blocks by an equi-join, and the gap decides. It is a semi-join, so no pairs are made.
+of its own and the neighbouring blocks by an equi-join, and the gap decides. It is a semi-join, so no pairs are made; a candidate lies in every block from its start to its end.
 
 Positions: ``split`` and ``regexp_extract_all`` cut a text by the same leftmost, non-overlapping matches, so running
 sums of the lengths of both give starts and ends in code points. Patterns begin only where a run begins, so that
@@ -82,10 +82,11 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = some.select("__row", F.explode(F.concat("strong", "weak")).alias("s")).select("__row", F.col("s.start").alias("p_start"), F.col("s.end").alias("p_end"), role.alias("p_role"))
     near = F.explode(F.sequence(F.floor(F.col("p_start") / scope) - 1, F.floor(F.col("p_end") / scope) + 1))
     parts = parts.withColumn("p_block", near).withColumnRenamed("__row", "p_row")
-    weak_ = some.select("__row", F.explode("weak").alias("s")).select("__row", "s", role.alias("role"), F.floor(F.col("s.start") / scope).alias("block"))
+    own = F.explode(F.sequence(F.floor(F.col("s.start") / scope), F.floor(F.col("s.end") / scope)))
+    weak_ = some.select("__row", F.explode("weak").alias("s")).select("__row", "s", role.alias("role"), own.alias("block"))
     gap = F.greatest(F.col("s.start") - F.col("p_end"), F.col("p_start") - F.col("s.end"))
     on = (F.col("__row") == F.col("p_row")) & (F.col("block") == F.col("p_block")) & (F.col("role") != F.col("p_role")) & (gap <= scope)
-    return weak_.join(parts, on, "left_semi").groupBy("__row").agg(F.collect_list("s").alias("linked"))
+    return weak_.join(parts, on, "left_semi").groupBy("__row").agg(F.collect_set("s").alias("linked"))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:
