@@ -194,6 +194,22 @@ def test_toxic_spans_held_out(spark):
             assert all(text[s["start"] : s["end"]].startswith("badword") for s in r["spans"])
 
 
+def test_toxic_words_past_the_third_hit_are_learned(spark, monkeypatch):
+    filler = lambda i, n: " ".join(f"plain{(i * 7 + j) % 90}" for j in range(n))
+    rows = [(i, f"{filler(i, 9)} x{i} grobble grobble grobble {filler(i, 150)} snarkle {filler(i, 9)}", 1) for i in range(60)]
+    rows += [(100 + i, f"x{i} {filler(i, 180)}", 0) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id long, text string, toxic int").repartition(6)
+    got = []
+    fit = toxicity.fit_field
+    monkeypatch.setattr(toxicity, "fit_field", lambda chains, lexicon: fit(got.extend(chains) or got, lexicon))
+    toxicity.train(frame.select("id", "text"), frame.select("id", "toxic"), "toxic", 1000, 1000)
+    assert sum(w == "snarkle" and s == 1 for ws, states in got for w, s in zip(ws, states, strict=True)) == 60
+    # The bound is of documents: no chain of a document that is taken is left out.
+    got.clear()
+    toxicity.train(frame.select("id", "text"), frame.select("id", "toxic"), "toxic", 1000, 1000, max_docs=20)
+    assert len(got) == 20 * 2 + 20
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(2)
     field = toxicity.Field(np.zeros(4), rng.normal(size=(2, 2)), set())

@@ -8,7 +8,8 @@ likelihood, with expectations from forward-backward. Documents are scored by the
 marginal is at least one half are reported with their offsets.
 
 Fitting uses at most ``max_docs`` toxic and as many clean labelled documents, taken by a hash of the id (a
-documented bound). All documents are scored whole, in batches of chains of ``CHAIN`` tokens.
+documented bound); of these, all chains with a listed form and the first chain of a clean document without one. The
+gradient is summed over blocks of chains. All documents are scored whole, in batches of chains of ``CHAIN`` tokens.
 
 Cases: null and empty texts score 0; labels for unknown ids or with null values are ignored; a repeated id has a result for
 each row; without toxic labels all scores are 0; an empty table gives no rows.
@@ -17,8 +18,9 @@ each row; without toxic labels all scores are 0; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.common import base_documents, materialize
 
-MAX_DOCS = 3_000
+MAX_DOCS = 6_000
 CHAIN = 64
 BITS = 18
 EPOCHS, STEP, RIDGE = 30, 0.3, 1e-4
@@ -39,6 +41,8 @@ COMMON_SHARE = 0.04
 CACHED_WORDS = 400_000
 #: Tokens whose chains are tagged at once.
 BLOCK = 150_000
+#: Chains whose expectations are computed at once.
+FIT_CHAINS = 4_096
 THRESHOLD = 0.7
 EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”’…"
 
@@ -126,31 +130,35 @@ def chains(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(rows, CHAIN), real.reshape(rows, CHAIN)
 
 
-def fit_field(sentences: list[tuple[list[str], list[int]]], lexicon: set[str]) -> Field:
-    """Chains of at most ``CHAIN`` words with their states."""
+def fit_field(sentences: Iterable[tuple[list[str], list[int]]], lexicon: set[str]) -> Field:
+    """Chains of at most ``CHAIN`` words with their states; each is kept as places in the list of words."""
     model = Field(np.zeros(1 << BITS), np.zeros((2, 2)), lexicon)
-    if not sentences:
+    index: dict[str, int] = {}
+    places, states_ = array("i"), array("b")
+    for ws, states in sentences:
+        rest = CHAIN - len(ws)
+        places.extend([*[index.setdefault(w, len(index)) for w in ws], *[0] * rest])
+        states_.extend([*states, *[-1] * rest])  # -1: padding
+    if not places:
         model.weights[:] = -10.0
         return model
-    index: dict[str, int] = {}
-    place = np.zeros((len(sentences), CHAIN), np.int32)
-    y, real = np.zeros((len(sentences), CHAIN)), np.zeros((len(sentences), CHAIN), bool)
-    for i, (ws, states) in enumerate(sentences):
-        for t, w in enumerate(ws):
-            place[i, t] = index.setdefault(w, len(index))
-        y[i, : len(ws)], real[i, : len(ws)] = states, True
+    place, ys = np.frombuffer(places, np.int32).reshape(-1, CHAIN), np.frombuffer(states_, np.int8).reshape(-1, CHAIN)
     ids = np.array([feature_ids(w, lexicon) for w in index])  # by word
-    ys = y.astype(np.int8)
-    inner = real[:, 1:]
-    seen = np.array([[((ys[:, :-1] == i) & (ys[:, 1:] == j) & inner).sum() for j in (0, 1)] for i in (0, 1)])
+    seen = np.array([[((ys[:, :-1] == i) & (ys[:, 1:] == j)).sum() for j in (0, 1)] for i in (0, 1)])
+    n_real = int((ys >= 0).sum())
     sums_w, sums_t = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8)
     for _ in range(EPOCHS):
-        emit = model.weights[ids].sum(1)[place] * real
-        toxic, pairs, _ = model.marginals(emit, real)
+        by_word = model.weights[ids].sum(1)
+        missed, pairs = np.zeros(len(ids)), np.zeros((2, 2))
+        for a in range(0, len(ys), FIT_CHAINS):
+            own, y = place[a : a + FIT_CHAINS], ys[a : a + FIT_CHAINS]
+            real = y >= 0
+            toxic, moves, _ = model.marginals(by_word[own] * real, real)
+            missed += np.bincount(own.ravel(), np.where(real, y - toxic, 0.0).ravel(), len(ids))
+            pairs += moves
         grad = np.zeros(1 << BITS)
-        miss = np.where(real, y - toxic, 0.0)
-        np.add.at(grad, ids.ravel(), np.repeat(np.bincount(place.ravel(), miss.ravel(), len(ids)), 6))
-        grad -= RIDGE * real.sum() / 100 * model.weights
+        np.add.at(grad, ids.ravel(), np.repeat(missed, 6))
+        grad -= RIDGE * n_real / 100 * model.weights
         move = (seen - pairs) - 0.01 * model.trans
         sums_w += grad**2
         sums_t += move**2
@@ -173,19 +181,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: i
             out = [sorted({bare(w) for w in (x.as_py() or "").split()} - {""}) for x in batch.column(0)]
             yield pa.record_batch([pa.array(out, pa.list_(pa.string())), batch.column(1)], names=["words", "y"])
 
-    def first_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hit_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, y = [], []
             for x, label_ in zip(batch.column(0), batch.column(1), strict=True):
                 ws = [b for w in (x.as_py() or "").split() if (b := bare(w))]
                 hits = [i for i, w in enumerate(ws) if not picked.isdisjoint(forms(w))]
-                # Around the first hits of a toxic document; the beginning of a clean one.
-                for at in dict.fromkeys(i // CHAIN for i in (hits[:3] or ([] if label_.as_py() else [0]))):
-                    out.append(ws[at * CHAIN : (at + 1) * CHAIN])
-                    y.append([int(not picked.isdisjoint(forms(w))) for w in out[-1]])
-                    if len(out) and label_.as_py() == 0:
-                        y[-1] = [0] * len(y[-1])
-            yield pa.record_batch([pa.array(out, pa.list_(pa.string())), pa.array(y, pa.list_(pa.int32()))], names=["words", "y"])
+                # Around the hits; the beginning of a clean document without any.
+                for at in dict.fromkeys(i // CHAIN for i in (hits or ([] if label_.as_py() else [0]))):
+                    chain = ws[at * CHAIN : (at + 1) * CHAIN]
+                    out.append(" ".join(chain))
+                    y.append(bytes(int(label_.as_py() != 0 and not picked.isdisjoint(forms(w))) for w in chain))
+            yield pa.record_batch([pa.array(out, pa.string()), pa.array(y, pa.binary())], names=["words", "y"])
 
     spread = sample.select("text", "y").mapInArrow(seen_words, "words array<string>, y int")
     flat = spread.select(F.explode("words").alias("w"), "y")
@@ -206,8 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: i
 
     toxic = [set(r[0]) for r in sample.where("y = 1").select("text").mapInArrow(known_forms, "forms array<string>").collect()]  # max_docs rows
     picked = cover(toxic, clean, n_clean)
-    rows = sample.select("text", "y").mapInArrow(first_chains, "words array<string>, y array<int>").limit(2 * max_docs).collect()
-    return fit_field([(r["words"], r["y"]) for r in rows if r["words"]], picked)
+    rows = sample.select("text", "y").mapInArrow(hit_chains, "words string, y binary").toLocalIterator()  # chains of 2 * max_docs documents
+    return fit_field(((r["words"].split(" "), list(r["y"])) for r in rows if r["words"]), picked)
 
 
 def tagged(docs: DataFrame, model: Field) -> DataFrame:
