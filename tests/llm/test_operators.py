@@ -268,6 +268,16 @@ def test_elias_fano():
         assert (ngram.EliasFano(ngram.EliasFano.build(values)).get(np.arange(3000)) == values).all()
 
 
+def test_ngrams_seen_once_are_kept(spark):
+    texts = ["once upon a time", "upon a hill", "a time"]
+    frame = spark.createDataFrame([*enumerate(texts), (9, "once upon a hill")], "id long, text string")
+    trie, coded = ngram.build(frame, F.col("id") < 9)
+    pairs = {p for t in texts for p in zip([*t.split(), ""], [*t.split(), ""][1:], strict=False)}
+    assert trie.second[-1] == len(pairs)
+    held = next(r for r in ngram.scored(coded, trie).collect() if r["id"] == 9)
+    assert held["score"] > held["base_score"] + 1
+
+
 @pytest.mark.parametrize("shard_words", [500_000, 1])
 def test_scores_against_plain_model(spark, monkeypatch, shard_words):
     monkeypatch.setattr(ngram, "SHARD_WORDS", shard_words)

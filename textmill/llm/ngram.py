@@ -10,7 +10,7 @@ scoring workers:
 The children of an n-gram are a range of the next level; the ranges' bounds are a monotone sequence in Elias-Fano form (low
 bits in whole bytes, high bits in unary with a rank directory). A child is found by successor search inside its
 context's range. Probabilities are smoothed by absolute discounting with interpolation, so those of a context sum to one;
-n-grams below ``MIN_COUNT`` are pruned and their mass goes to the lower order. Unigrams are add-one over all words.
+every n-gram is kept (those below ``MIN_COUNT``, which is one, would be pruned, their mass going to the lower order). Unigrams are add-one over all words.
 
 Counting: workers pre-count each block of tokens, Spark sums, and a shard is written by one task from rows sorted by
 context. Once the words have ids, documents are kept as codes, so that later rounds read no text. An n-gram is counted only if the shorter ones that it contains were kept, which loses none (counts fall with
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 
 from textmill.llm.common import base_documents, materialize, shared_dir
 
-MIN_COUNT = 3
+MIN_COUNT = 1
 DISCOUNT = 0.75
 #: Words of a level-1 shard, about; the number of shards follows from the number of words.
-SHARD_WORDS = 500_000
+SHARD_WORDS = 125_000
 #: Tokens handled at once by a worker.
 BLOCK = 300_000
 CACHED_WORDS = 400_000
