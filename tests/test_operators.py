@@ -212,6 +212,33 @@ def test_bpe(spark):
         assert model.decode(r["input_ids"]) == r["text"]
 
 
+def test_bpe_counts_every_type(spark):
+    from collections import Counter
+
+    from textmill import queries
+
+    spelt = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    frame = spark.createDataFrame([(i, f"common{spelt(i % 50)}" + f" rare{spelt(i)}zq" * 2 + f" once{spelt(i)}qz") for i in range(24_000)], "doc_id long, text string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(queries, "documents", lambda *_: frame)
+        merges = [(bytes.fromhex(r["left_hex"]), bytes.fromhex(r["right_hex"])) for r in queries.QUERIES["bpe_train"](spark, "").orderBy("rank").collect()]
+    counts = Counter()
+    for r in bpe.pretoken_counts(frame, "text").collect():
+        counts[tuple(bytes([b]) for b in r["token"].encode())] += r["n"]
+    assert len(counts) > 40_000
+    for got in merges[:20]:  # plain BPE over all types
+        pairs = Counter()
+        for form, n in counts.items():
+            for p in zip(form, form[1:], strict=False):
+                pairs[p] += n
+        assert got == max(pairs, key=lambda p: (pairs[p], p))
+        after = Counter()
+        for form, n in counts.items():
+            after[tuple(bpe.merge(list(form), got))] += n
+        counts = after
+    assert len(merges) > 2000
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": "1", "text": "x"}\n\nnot json\n{"id": "2", "text": "é"}\n')
     with gzip.open(tmp_path / "b.jsonl.gz", "wt") as f:

@@ -389,9 +389,13 @@ def bpe_pretoken_counts(spark, sf_dir):
     return bpe.pretoken_counts(documents(spark, sf_dir), "text")
 
 
+# The reference's vocabulary, special tokens and bytes included.
+VOCABULARY = 50_257
+
+
 @query("bpe_train")
 def bpe_train(spark, sf_dir):
-    merges = bpe.train(documents(spark, sf_dir), "text", 2000, max_types=20_000)
+    merges = bpe.train(documents(spark, sf_dir), "text", VOCABULARY)
     rows = [(i, a.hex(), b.hex()) for i, (a, b) in enumerate(merges)]
     return spark.createDataFrame(rows, "rank int, left_hex string, right_hex string")
 
@@ -399,7 +403,7 @@ def bpe_train(spark, sf_dir):
 @query("bpe_encode")
 def bpe_encode(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text", "n_chars")
-    out = bpe.encode(docs, "text", bpe.train(docs, "text", 2000, max_types=20_000), ["doc_id", "n_chars"])
+    out = bpe.encode(docs, "text", bpe.train(docs, "text", VOCABULARY), ["doc_id", "n_chars"])
     return out.select("doc_id", F.size("input_ids").alias("tokens"), F.round(F.col("n_chars") / F.size("input_ids"), 6).alias("chars_per_token"))
 
 
