@@ -1,26 +1,31 @@
-"""Toxic spans by a linear-chain conditional random field.
+"""Toxic spans by a linear-chain conditional random field with latent token states.
 
-Labels are given for documents, so tokens are labelled from them: of the forms and beginnings of words that occur in
-toxic documents and almost never in clean ones, a greedy cover picks the smallest set that explains the toxic
-documents, and tokens with one of these are toxic. The field has two states; its features are hashed
-(the word, its beginnings and its ending) and its weights and transitions are fitted by gradient ascent on the
-likelihood, with expectations from forward-backward. Documents are scored by the largest marginal of a token; tokens whose
-marginal is at least one half are reported with their offsets.
+Labels are given for documents, not for tokens. So the states of the tokens (0 clean, 1 toxic) are latent: a document is
+toxic if at least one of its tokens is in state 1. The field scores a path of states by hashed features of the words in
+state 1 (the word, its beginnings, its ending, a bias) and by transitions; the path without a toxic token scores 0, so
 
-Fitting uses at most ``max_docs`` toxic and as many clean labelled documents, taken by a hash of the id (a
-documented bound); of these, all chains with a listed form and the first chain of a clean document without one. The
-gradient is summed over blocks of chains. All documents are scored whole, in batches of chains of ``CHAIN`` tokens.
+    P(document clean) = 1 / Z,   P(document toxic) = 1 - 1 / Z,
 
-Cases: null and empty texts score 0; labels for unknown ids or with null values are ignored; a repeated id has a result for
-each row; without toxic labels all scores are 0; an empty table gives no rows.
+with Z from the forward pass. The likelihood of the documents' labels is climbed by gradients: the expected features of the
+tokens (marginals from forward-backward), times -1 in a clean document and 1 / (Z - 1) in a toxic one. No word list and no token label is given or mined;
+what is toxic comes out of the fit. Score of a document: 1 - 1 / Z. Offending offsets: tokens whose marginal is at least one half.
+
+Passes are exact over whole documents of any length. Tokens are cut into chunks of ``CHUNK``; the chunks' 2 x 2 transfer
+matrices are multiplied for all chunks at once, joined along each document, and states within the chunks follow from the values at their edges.
+
+Fitting uses at most ``max_docs`` labelled documents of each label (a documented bound on labelled rows), whole, taken in the order of a hash of the text,
+and one of equal texts. It runs on the driver, which holds a number for each token of these.
+
+Cases: null and empty texts score 0 and have no spans; labels for unknown ids or with null values are ignored; an id labelled both ways counts for both; a
+repeated or null id has a result for each row; without toxic or without clean labels all scores are 0; ties in the sampling hash are settled by the text; a very long text is one
+row of its block; further columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,197 +34,205 @@ from pyspark.sql import functions as F
 
 from textmill.llm.common import base_documents, materialize
 
+#: Labelled documents of each label that are learned from.
 MAX_DOCS = 6_000
-CHAIN = 64
-BITS = 18
-EPOCHS, STEP, RIDGE = 30, 0.3, 1e-4
-#: A form must be in so many toxic documents, and in so few clean ones for each toxic one.
-LEAST_DOCS, MOST_CLEAN = 5, 0.02
-CANDIDATES = 20_000
-#: Share of the toxic documents that makes a form count without the cover.
-COMMON_SHARE = 0.04
+CHUNK = 32
+BITS = 20
+#: The step's size, the sum of squares that gradients start from (so that words of few documents move slowly), and the pull to 0.
+EPOCHS, STEP, START, RIDGE = 30, 1.0, 10.0, 1e-3
+#: Before the fit, a token is toxic with about this log-odds.
+PRIOR = -7.0
+#: Bounds of log potentials; 32 steps of both at their bounds stay within a double.
+MOST_EMIT, MOST_MOVE = 12.0, 8.0
 CACHED_WORDS = 400_000
-#: Tokens whose chains are tagged at once.
+#: Tokens that are swept at once; a longer document is swept alone.
 BLOCK = 150_000
-#: Chains whose expectations are computed at once.
-FIT_CHAINS = 4_096
 THRESHOLD = 0.7
 EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”’…"
-
-
-#: Lengths of the beginnings of words that are tried as stems.
+#: Lengths of the beginnings of words.
 STEMS = range(4, 9)
+FEATURES = len(STEMS) + 3
 
 
-def forms(word: str) -> list[str]:
-    """The word and its beginnings."""
-    return [word, *[f"{word[:k]}-" for k in STEMS if len(word) > k]]
+def bare(token: str) -> str:
+    return token.lower().strip(EDGE)
 
 
-def feature_ids(word: str, lexicon: set[str]) -> list[int]:
+def feature_ids(word: str) -> list[int]:
+    """Places of the word, its beginnings, its ending and the bias (last)."""
     import xxhash
 
-    listed = not lexicon.isdisjoint(forms(word))
-    names = (f"w{word}", f"4{word[:4]}", f"6{word[:6]}", f"e{word[-3:]}", f"l{listed}", "b")
+    names = [f"w{word}", *[f"{k}{word[:k]}" for k in STEMS], f"e{word[-3:]}", "b"]
     return [xxhash.xxh32_intdigest(x) >> (32 - BITS) for x in names]
 
 
-def bare(token: str) -> str:
-    return token.lower().strip(EDGE)
-
-
-def cover(toxic: list[set[str]], clean: Counter, n_clean: int) -> set[str]:
-    """Forms picked greedily: the one that explains most toxic documents not explained yet; of equals the rarest among the clean, then the longest."""
-    seen = Counter(f for forms_ in toxic for f in forms_)
-    scale = len(toxic) / max(1, n_clean)
-    least = max(LEAST_DOCS, len(toxic) // 500)
-    good = {f for f, n in seen.items() if n >= least and clean[f] * scale <= MOST_CLEAN * n}
-    good = set(sorted(good, key=lambda f: (-seen[f], f))[:CANDIDATES])
-    left = [t & good for t in toxic]
-    # Forms in a good part of the toxic documents count in any case.
-    picked = {f for f in good if seen[f] >= max(least, COMMON_SHARE * len(toxic)) and clean[f] * scale <= MOST_CLEAN / 10 * seen[f]}
-    left = [t for t in left if t.isdisjoint(picked)]
-    while True:
-        gain = Counter(f for t in left for f in t)
-        if not gain:
-            return picked
-        best = max(gain, key=lambda f: (gain[f], -clean[f], len(f), f))
-        if gain[best] < least:
-            return picked
-        picked.add(best)
-        left = [t for t in left if best not in t]
-
-
 class Field:
-    """Emission weights by hashed feature for the toxic state (the other's are 0), transition scores [from, to], and the listed forms."""
+    """Weights by hashed feature for state 1, and log scores of entering, leaving and staying in it; state 0 and staying there score 0."""
 
-    def __init__(self, weights: np.ndarray, trans: np.ndarray, lexicon: set[str]):
-        self.weights, self.trans, self.lexicon = weights, trans, lexicon
+    def __init__(self, weights: np.ndarray, trans: np.ndarray):
+        self.weights, self.trans = weights, trans
 
     def emission(self, word: str) -> float:
-        return sum(map(self.weights.item, feature_ids(word, self.lexicon)))
-
-    def marginals(self, emit: np.ndarray, real: np.ndarray, pairs: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """P(toxic) of each token of chains (rows) of equal length, expected transitions and log Z; ``real`` masks tails of padding."""
-        n, size = emit.shape
-        alpha = np.zeros((size, n, 2))
-        beta = np.zeros((size, n, 2))
-        alpha[0, :, 1] = emit[:, 0]
-        for t in range(1, size):
-            a = alpha[t - 1]
-            step = np.stack([np.logaddexp(a[:, 0] + self.trans[0, j], a[:, 1] + self.trans[1, j]) for j in (0, 1)], 1)
-            step[:, 1] += emit[:, t]
-            alpha[t] = np.where(real[:, t, None], step, a)
-        z = np.logaddexp(alpha[-1, :, 0], alpha[-1, :, 1])
-        moves = np.zeros((2, 2))
-        for t in range(size - 2, -1, -1):
-            b = beta[t + 1].copy()
-            b[:, 1] += emit[:, t + 1]
-            step = np.stack([np.logaddexp(self.trans[i, 0] + b[:, 0], self.trans[i, 1] + b[:, 1]) for i in (0, 1)], 1)
-            beta[t] = np.where(real[:, t + 1, None], step, beta[t + 1])
-            for i, j in ((0, 0), (0, 1), (1, 0), (1, 1)) if pairs else ():
-                moves[i, j] += np.exp(alpha[t, :, i] + self.trans[i, j] + b[:, j] - z)[real[:, t + 1]].sum()
-        toxic = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z).T * real
-        return toxic, moves, z
-
-
-def chains(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    rows = -(-len(values) // CHAIN)
-    out, real = np.zeros(rows * CHAIN), np.zeros(rows * CHAIN, bool)
-    out[: len(values)], real[: len(values)] = values, True
-    return out.reshape(rows, CHAIN), real.reshape(rows, CHAIN)
-
-
-def fit_field(sentences: Iterable[tuple[list[str], list[int]]], lexicon: set[str]) -> Field:
-    """Chains of at most ``CHAIN`` words with their states; each is kept as places in the list of words."""
-    model = Field(np.zeros(1 << BITS), np.zeros((2, 2)), lexicon)
+        return min(MOST_EMIT, max(-30.0, sum(map(self.weights.item, feature_ids(word)))))
+
+
+class Sweep:
+    """Forward-backward over documents: ``emit`` has the log score of state 1 of all their tokens, ``starts`` the first token of each."""
+
+    def __init__(self, emit: np.ndarray, starts: np.ndarray, trans: np.ndarray):
+        self.docs, self.sizes = len(starts), np.diff(np.r_[starts, len(emit)])
+        self.chunks = -(-self.sizes // CHUNK)
+        self.first = np.r_[0, np.cumsum(self.chunks)[:-1]].astype(np.int64)
+        n = int(self.chunks.sum())
+        self.place = np.repeat(self.first * CHUNK - starts, self.sizes) + np.arange(len(emit))
+        e, real = np.zeros(n * CHUNK), np.zeros(n * CHUNK, bool)
+        e[self.place], real[self.place] = np.exp(emit), True
+        # A row for each place in a chunk, a column for each chunk; padding leaves values as they are.
+        self.e, self.real = (np.ascontiguousarray(x.reshape(n, CHUNK).T) for x in (e, real))
+        self.whole = self.real.all(1).tolist()
+        self.enter, self.leave, self.stay = np.exp(trans)
+        self._transfer()
+        self._forward()
+
+    def _step(self, x0: np.ndarray, x1: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+        y0, y1 = x0 + x1 * self.leave, (x0 * self.enter + x1 * self.stay) * self.e[t]
+        return (y0, y1) if self.whole[t] else (np.where(self.real[t], y0, x0), np.where(self.real[t], y1, x1))
+
+    def _transfer(self) -> None:
+        """[from, to] sums over the paths through each chunk, scaled, and the logs of the scales."""
+        n = self.e.shape[1]
+        rows = [(np.ones(n), np.zeros(n)), (np.zeros(n), np.ones(n))]
+        for t in range(CHUNK):
+            rows = [self._step(*x, t) for x in rows]
+        m = np.array(rows)
+        total = m.sum((0, 1))
+        self.m, self.scale = m / total, np.log(total)
+
+    def _turns(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Documents that have a k-th chunk, and these chunks."""
+        order = np.argsort(-self.chunks, kind="stable")
+        counts = np.searchsorted(-self.chunks[order], -np.arange(1, self.chunks.max(initial=0) + 1), side="right")
+        return [(order[:c], self.first[order[:c]] + k) for k, c in enumerate(counts.tolist())]
+
+    def _forward(self) -> None:
+        self.logz = np.zeros(self.docs)
+        self.before = np.zeros((2, self.e.shape[1]))
+        now = np.zeros((2, self.docs))
+        now[0] = 1  # a document begins after a clean token
+        self.turns = self._turns()
+        for docs, chunk in self.turns:
+            self.before[:, chunk] = now[:, docs]
+            out = (now[:, None, docs] * self.m[:, :, chunk]).sum(0)
+            total = out.sum(0)
+            self.logz[docs] += np.log(total) + self.scale[chunk]
+            now[:, docs] = out / total
+
+    def toxic(self) -> np.ndarray:
+        """P(some token in state 1) of each document."""
+        return -np.expm1(-np.maximum(self.logz, 0))
+
+    def backward(self, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """P(state 1) of each token, and the sums of expected enterings, leavings and stays, times the documents' weights."""
+        n = self.e.shape[1]
+        after = np.zeros((2, n))
+        now = np.ones((2, self.docs))
+        for docs, chunk in reversed(self.turns):
+            after[:, chunk] = now[:, docs]
+            out = (self.m[:, :, chunk] * now[None, :, docs]).sum(1)
+            now[:, docs] = out / out.sum(0)
+        alpha = [(self.before[0], self.before[1])]
+        for t in range(CHUNK):
+            alpha.append(self._step(*alpha[-1], t))
+        marginal, moves = np.zeros((CHUNK, n)), np.zeros(3)
+        w = None if weight is None else np.repeat(weight, self.chunks)
+        b0, b1 = after
+        for t in range(CHUNK - 1, -1, -1):
+            a0, a1 = alpha[t + 1]
+            up = a1 * b1
+            z = a0 * b0 + up
+            marginal[t] = up / z
+            arrive = self.e[t] * b1
+            if w is not None:
+                p0, p1 = alpha[t]
+                share = w * self.real[t] / z
+                moves += [(share * p0 * arrive).sum() * self.enter, (share * p1 * b0).sum() * self.leave, (share * p1 * arrive).sum() * self.stay]
+            c0, c1 = b0 + self.enter * arrive, b0 * self.leave + self.stay * arrive
+            b0, b1 = (c0, c1) if self.whole[t] else (np.where(self.real[t], c0, b0), np.where(self.real[t], c1, b1))
+        return marginal.T.reshape(-1)[self.place], moves
+
+
+def slopes(sweep: Sweep, toxic: np.ndarray) -> tuple[float, np.ndarray]:
+    """The log likelihood of the labels, and its slope by each document's log Z."""
+    z = np.maximum(sweep.logz, 1e-9)
+    value = np.where(toxic, np.log(-np.expm1(-z)), -z).sum()
+    return float(value), np.where(toxic, 1 / np.maximum(np.expm1(np.minimum(z, 50)), 1e-3), -1.0)
+
+
+def fit_field(docs: Iterable[tuple[list[str], int]], epochs: int = EPOCHS) -> Field:
+    """From words and label of each document. Words are kept once, tokens as their places."""
     index: dict[str, int] = {}
-    places, states_ = array("i"), array("b")
-    for ws, states in sentences:
-        rest = CHAIN - len(ws)
-        places.extend([*[index.setdefault(w, len(index)) for w in ws], *[0] * rest])
-        states_.extend([*states, *[-1] * rest])  # -1: padding
-    if not places:
-        model.weights[:] = -10.0
+    places, sizes, labels = array("i"), [], []
+    for words, y in docs:
+        if words:
+            places.extend([index.setdefault(w, len(index)) for w in words])
+            sizes.append(len(words))
+            labels.append(y == 1)
+    model = Field(np.zeros(1 << BITS), np.zeros(3))
+    bias = feature_ids("")[-1]
+    if not any(labels) or all(labels):
+        model.weights[bias] = -1e6
         return model
-    place, ys = np.frombuffer(places, np.int32).reshape(-1, CHAIN), np.frombuffer(states_, np.int8).reshape(-1, CHAIN)
-    ids = np.array([feature_ids(w, lexicon) for w in index])  # by word
-    seen = np.array([[((ys[:, :-1] == i) & (ys[:, 1:] == j)).sum() for j in (0, 1)] for i in (0, 1)])
-    n_real = int((ys >= 0).sum())
-    sums_w, sums_t = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8)
-    for _ in range(EPOCHS):
-        by_word = model.weights[ids].sum(1)
-        missed, pairs = np.zeros(len(ids)), np.zeros((2, 2))
-        for a in range(0, len(ys), FIT_CHAINS):
-            own, y = place[a : a + FIT_CHAINS], ys[a : a + FIT_CHAINS]
-            real = y >= 0
-            toxic, moves, _ = model.marginals(by_word[own] * real, real)
-            missed += np.bincount(own.ravel(), np.where(real, y - toxic, 0.0).ravel(), len(ids))
-            pairs += moves
-        grad = np.zeros(1 << BITS)
-        np.add.at(grad, ids.ravel(), np.repeat(missed, 6))
-        grad -= RIDGE * n_real / 100 * model.weights
-        move = (seen - pairs) - 0.01 * model.trans
-        sums_w += grad**2
-        sums_t += move**2
-        model.weights += STEP * grad / np.sqrt(sums_w)
-        model.trans += STEP * move / np.sqrt(sums_t)
+    model.weights[bias] = PRIOR
+    token, y = np.frombuffer(places, np.int32), np.array(labels)
+    ids = np.array([feature_ids(w) for w in index], np.int32)
+    ends = np.r_[0, np.cumsum(sizes)]
+    cuts = [0]
+    for i in range(len(sizes)):
+        if ends[i + 1] - ends[cuts[-1]] > BLOCK and i > cuts[-1]:
+            cuts.append(i)
+    cuts.append(len(sizes))
+    squares, squares_t = np.full(1 << BITS, START), np.full(3, START)
+    pull = RIDGE * np.sqrt(len(sizes))
+    for _ in range(epochs):
+        by_word = np.clip(model.weights[ids].sum(1), -30, MOST_EMIT)
+        grad_word, moves = np.zeros(len(ids)), np.zeros(3)
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            own = token[ends[a] : ends[b]]
+            sweep = Sweep(by_word[own], ends[a:b] - ends[a], model.trans)
+            weight = slopes(sweep, y[a:b])[1]
+            marginal, expected = sweep.backward(weight)
+            grad_word += np.bincount(own, marginal * np.repeat(weight, sweep.sizes), len(ids))
+            moves += expected
+        held = pull * model.weights
+        held[bias] = 0
+        grad = np.bincount(ids.ravel(), np.repeat(grad_word, FEATURES), 1 << BITS) - held
+        squares += grad**2
+        model.weights += STEP * grad / np.sqrt(squares)
+        squares_t += moves**2
+        model.trans = np.clip(model.trans + STEP * moves / np.sqrt(squares_t), -MOST_MOVE, MOST_MOVE)
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, fold: int, held_out: int, max_docs: int = MAX_DOCS) -> Field:
     """Fit on labelled documents (id, text) whose CRC32 of the id, mod ``fold``, is not ``held_out``."""
     known = labels.where(F.col(label).isNotNull() & (F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(fold)) != held_out))
-    known = known.select("id", F.col(label).cast("int").alias("y"))
-    pick = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_docs)
-    sample = docs.join(F.broadcast(pick(1).union(pick(0))), "id")
-    # Of copies and near copies, which would make any rare word look common, one is enough to learn from.
-    sample = materialize(sample.withColumn("opening", F.substring("text", 1, 60)).dropDuplicates(["opening", "y"]).drop("opening"), "toxicity")
+    known = known.select("id", F.col(label).cast("int").alias("y")).distinct()
+    some = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_docs)
+    rows = docs.join(F.broadcast(some(1).union(some(0))), "id").where(F.length("text") > 0).groupBy("text", "y").agg(F.count(F.lit(1)).alias("copies"))
+    rows = materialize(rows, "toxicity")  # a repeated id may have brought more than max_docs texts
 
-    def seen_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [sorted({bare(w) for w in (x.as_py() or "").split()} - {""}) for x in batch.column(0)]
-            yield pa.record_batch([pa.array(out, pa.list_(pa.string())), batch.column(1)], names=["words", "y"])
+            out = [" ".join(b for w in x.as_py().split() if (b := bare(w))) for x in batch.column(0)]
+            yield pa.record_batch([pa.array(out, pa.string()), batch.column(1)], names=["words", "y"])
 
-    def hit_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, y = [], []
-            for x, label_ in zip(batch.column(0), batch.column(1), strict=True):
-                ws = [b for w in (x.as_py() or "").split() if (b := bare(w))]
-                hits = [i for i, w in enumerate(ws) if not picked.isdisjoint(forms(w))]
-                # Around the hits; the beginning of a clean document without any.
-                for at in dict.fromkeys(i // CHAIN for i in (hits or ([] if label_.as_py() else [0]))):
-                    chain = ws[at * CHAIN : (at + 1) * CHAIN]
-                    out.append(" ".join(chain))
-                    y.append(bytes(int(label_.as_py() != 0 and not picked.isdisjoint(forms(w))) for w in chain))
-            yield pa.record_batch([pa.array(out, pa.string()), pa.array(y, pa.binary())], names=["words", "y"])
-
-    spread = sample.select("text", "y").mapInArrow(seen_words, "words array<string>, y int")
-    flat = spread.select(F.explode("words").alias("w"), "y")
-    named = F.explode(F.concat(F.array("w"), *[F.when(F.length("w") > k, F.array(F.concat(F.substring("w", 1, k), F.lit("-")))).otherwise(F.array().cast("array<string>")) for k in STEMS]))
-    counts = flat.select(named.alias("form"), "y").groupBy("form").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
-    n_toxic, n_clean = (sample.where(F.col("y") == y).count() for y in (1, 0))
-    least = max(LEAST_DOCS, n_toxic // 500)
-    # Words occur in a document more than once in a form; the cover below counts documents.
-    likely = counts.where((F.col("toxic") >= least) & (F.col("clean") * n_toxic <= MOST_CLEAN * F.col("toxic") * max(1, n_clean)))
-    table = likely.orderBy(F.desc("toxic"), "form").limit(CANDIDATES).collect()  # bounded
-    clean = Counter({r["form"]: r["clean"] for r in table})
-    allowed = {r["form"] for r in table}
-
-    def known_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [sorted({f for w in {bare(w) for w in (x.as_py() or "").split()} for f in forms(w)} & allowed) for x in batch.column(0)]
-            yield pa.record_batch([pa.array(out, pa.list_(pa.string()))], names=["forms"])
-
-    toxic = [set(r[0]) for r in sample.where("y = 1").select("text").mapInArrow(known_forms, "forms array<string>").collect()]  # max_docs rows
-    picked = cover(toxic, clean, n_clean)
-    rows = sample.select("text", "y").mapInArrow(hit_chains, "words string, y binary").toLocalIterator()  # chains of 2 * max_docs documents
-    return fit_field(((r["words"].split(" "), list(r["y"])) for r in rows if r["words"]), picked)
+    sample = lambda y: rows.where(F.col("y") == y).orderBy(F.xxhash64("text"), "text").limit(max_docs).select("text", "y").mapInArrow(seen, "words string, y int")
+    return fit_field((r["words"].split(" ") if r["words"] else [], r["y"]) for y in (1, 0) for r in sample(y).toLocalIterator())
 
 
 def tagged(docs: DataFrame, model: Field) -> DataFrame:
     """id, score and spans (start, end in code points, p) of every row of ``docs`` (id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS weights
+    shared = docs.sparkSession.sparkContext.broadcast(Field(model.weights.astype(np.float32), model.trans))  # 2**BITS weights
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = shared.value
@@ -227,21 +240,25 @@ def tagged(docs: DataFrame, model: Field) -> DataFrame:
         class Emissions(dict):
             def __missing__(self, token: str) -> float:
                 word = bare(token)
-                found = self[token] = field.emission(word) if word else -20.0
+                found = self[token] = field.emission(word) if word else -30.0
                 return found
 
+        def swept(held: list[tuple[int, str, np.ndarray]]) -> Sweep:
+            sizes = [len(emit) for _, _, emit in held]
+            return Sweep(np.concatenate([emit for _, _, emit in held]), np.cumsum([0, *sizes[:-1]]), field.trans)
+
         def score_block(held: list[tuple[int, str, np.ndarray]], scores: np.ndarray, spans: list[list]) -> None:
-            cut = [chains(emit) for _, _, emit in held]
-            if not cut:
+            if not held:
+                return
+            scores[[i for i, _, _ in held]] = swept(held).toxic()
+            likely = [h for h in held if scores[h[0]] >= 0.5]  # no marginal exceeds the document's probability
+            if not likely:
                 return
-            toxic = field.marginals(np.concatenate([c[0] for c in cut]), np.concatenate([c[1] for c in cut]), pairs=False)[0]
-            at = 0
-            for (i, text, emit), c in zip(held, cut, strict=True):
-                own = toxic[at : at + len(c[0])].ravel()[: len(emit)]
-                at += len(c[0])
-                scores[i] = own.max()
-                if scores[i] >= 0.5:
-                    spans[i] = [{"start": m.start(), "end": m.end(), "p": float(p)} for m, p in zip(_TOKEN.finditer(text), own, strict=True) if p >= 0.5]
+            marginal, at = swept(likely).backward()[0], 0
+            for i, text, emit in likely:
+                own = marginal[at : at + len(emit)]
+                at += len(emit)
+                spans[i] = [{"start": m.start(), "end": m.end(), "p": float(p)} for m, p in zip(_TOKEN.finditer(text), own, strict=True) if p >= 0.5]
 
         known = Emissions()
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
@@ -256,7 +273,7 @@ def tagged(docs: DataFrame, model: Field) -> DataFrame:
                     continue
                 held.append((i, text, np.fromiter(map(known.__getitem__, tokens), float, len(tokens))))
                 size += len(tokens)
-                if size > BLOCK or i == batch.num_rows - 1:
+                if size > BLOCK:
                     score_block(held, scores, spans)
                     held, size = [], 0
             score_block(held, scores, spans)
@@ -275,5 +292,6 @@ def op9_crf_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base_documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("id"), "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"), "toxic")
     out = tagged(docs, train(docs, labels, "toxic", 3, 1))
-    held = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(3)) == 1
-    return out.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
+    held = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"], F.round(s["p"], 3))), ",")
+    return out.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"), spans.alias("spans"))
