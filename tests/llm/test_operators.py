@@ -146,7 +146,7 @@ def test_packing_round_trip(spark, docs):
 # 4 ---------------------------------------------------------------------------------------------------
 
 
-def test_repeats_against_brute_force(spark, docs):
+def test_repeats_against_brute_force(spark, docs, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(i, t) for i, t, _ in ROWS if i not in (6, 7)]
     base = bytes(rng.integers(97, 123, 900).astype("u1")).decode()
@@ -154,10 +154,31 @@ def test_repeats_against_brute_force(spark, docs):
         a, b = sorted(rng.integers(0, 900, 2))
         rows.append((100 + k, base[a:b] + bytes(rng.integers(97, 123, int(rng.integers(0, 60))).astype("u1")).decode() + base[: int(rng.integers(0, 300))]))
     rows += [(200, "ab" * 400), (201, "ab" * 60 + "c"), (202, base[:99]), (203, base[:100])]
-    want = {r[0]: r[1:] for r in substring_dedup.plain(list(dict(rows).items()))}
+    want = {r[0]: r[1:] for r in substring_dedup.plain(sorted(dict(rows).items()))}
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    for r in substring_dedup.without_repeats(frame).collect():
-        assert (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()) == want[r["id"]]
+    for least in (substring_dedup.LEAST_LARGE, 3):  # 3: many minimizers are taken apart into windows
+        monkeypatch.setattr(substring_dedup, "LEAST_LARGE", least)
+        out = substring_dedup.without_repeats(frame).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            assert (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()) == want[r["id"]]
+
+
+@pytest.mark.parametrize("least", [substring_dedup.LEAST_LARGE, 2])
+def test_repeats_with_null_and_repeated_ids(spark, monkeypatch, least):
+    monkeypatch.setattr(substring_dedup, "LEAST_LARGE", least)
+    rng = np.random.default_rng(31)
+    a, b, c = (bytes(rng.integers(97, 123, 300).astype("u1")).decode() for _ in range(3))
+    rows = [(1, a + a), (1, b + b[:150] + c), (None, c), (None, b[:120] + "é" + a[:200]), (7, c + c[:99]), (7, c + c[:99]), (-(1 << 63), c), (9, None), (9, ""), (9, b[20:140])]
+    frame = spark.createDataFrame([(*r, 5, "x", 1) for r in rows], "doc_id long, text string, start long, mini string, n int").repartition(5)
+    out = substring_dedup.without_repeats(frame).collect()
+    hashed = {r["text"]: r["h"] for r in frame.select("text", F.xxhash64("text").alias("h")).collect()}
+    key = lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]] & ((1 << 63) - 1))
+    want = {(r[0][0], r[0][1]): r[1:] for r in substring_dedup.plain([(r, r[1]) for r in sorted(set(rows), key=key)])}
+    got = collections.Counter((r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in out)
+    assert got == collections.Counter((i, *want[i, t]) for i, t in rows)
+    two = spark.createDataFrame([(1, a + a), (1, b + b[:150] + c)], "doc_id long, text string")
+    assert sorted(r["n_removed"] for r in substring_dedup.without_repeats(two).collect()) == [150, 300]
 
 
 # 5, 9 ------------------------------------------------------------------------------------------------

@@ -2,26 +2,31 @@
 
 Every 100-byte window of a text belongs to its minimizer: the 32-byte gram of smallest hash inside it (the leftmost of equals).
 Consecutive windows with one minimizer form a segment, and two equal windows have equal minimizers at equal places.
-So segments are grouped by minimizer:
+So the strings that are built together are the segments of a minimizer, aligned at it:
 
-* a segment whose minimizer occurs once has no repeated window;
-* of segments with equal bytes, all but the first are repeated as a whole (found by hash, with no text moved; those of one block
-  of rows are settled before the shuffle, so that very common lines and copies do not meet in one task);
-* the first ones of minimizers with several different segments are compared byte by byte.
+* a minimizer with one segment has no repeated window;
+* equal strings are inserted once: the first one stands for them, and of the others every window is repeated. They are found by a
+  64-bit hash of their bytes, first within a block of rows and then over all, so very common lines and copies are aggregated before the shuffle;
+* the different strings of a minimizer are inserted a column at a time, from the right: each round reads one column of a
+  sequential file in the shared folder, puts one symbol of every string at the string's place in the transform, and moves the strings by
+  a stable count of the symbols; common prefixes of neighbours are updated from those of the round before by range minima. Neighbours with a common
+  prefix of 100 bytes are equal windows; all but the first in document order are repeated.
 
-For the last kind, the segments of a task are aligned at their minimizers and inserted a column at a time, from the right:
-each round adds one symbol of every string, and the order of all suffixes and the common prefixes of neighbours are updated from
-those of the round before (a stable sort of the new symbols, and range minima of the old prefixes). The columns lie in a
-sequential temporary file, of which a round reads one. Neighbours with a common prefix of 100 bytes are equal windows; all but the
-first in document order are repeated.
+A minimizer with very many different segments (the edge of a passage that a large part of the documents shares) would be one
+large group. So segments are counted first, by a part of the minimizer's hash; those of a part with more than ``total / PARTS`` segments
+are taken apart into their windows, each of which is a string that is grouped by its own hash. The number of such parts is at most ``PARTS``, whatever the input.
 
-Cases: null texts are empty; texts under 100 bytes lose nothing; a null id comes before all others; rows with equal id and
-text are one document, and each gets its result; an empty table gives no rows.
+A document is a row, known by its id and a hash of its text; documents are ordered by id and then by that hash.
+
+Cases: null texts are empty; texts under 100 bytes lose nothing; null ids come before all others; rows with one id and different texts are
+different documents; rows with equal id and text are one document, and each gets its result; a very long text is cut into overlapping slices at work, with the same result;
+further columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textmill.llm.common import base_documents, materialize
+from textmill.llm.common import base_documents, materialize, remove, shared_dir, store
 
 LENGTH = 100
 GRAM = 32
@@ -41,17 +46,38 @@ SLICE = 1 << 20
 STRINGS = 40_000
 #: Columns: up to WIDTH - 1 bytes before the minimizer, GRAM, and WIDTH - 1 after.
 COLUMNS = 2 * (WIDTH - 1) + GRAM
-NULL_ID = -(1 << 62)
+#: Stands for a null id; told from a real id of this value by the sign of the text's hash.
+NULL_ID = -(1 << 63)
+#: Bits of a minimizer's hash by which segments are counted.
+PART_BITS = 20
+#: A part with more segments than this, and than total / PARTS, is taken apart.
+LEAST_LARGE, PARTS = 256, 100_000
+#: Rows of a block.
+BLOCK = 400_000
 
 _RNG = np.random.default_rng(77)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = _RNG.integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = _RNG.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """start, windows, minimizer hash and minimizer place (from start) of each segment of ``data``."""
-    parts = []
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def _content(grams: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes from ``start``, of ``size`` (at least GRAM) each, from the hashes of all grams: those that lie end to end, and the last."""
+    out = size.astype(np.uint64) * _STEP[8]
+    for k in range(int(size.max(initial=0)) // GRAM):
+        inside = (k + 1) * GRAM <= size
+        at = np.where(inside, start + k * GRAM, start)
+        out = np.where(inside, _mixed((out ^ grams[at]) * _STEP[9]), out)
+    return _mixed((out ^ grams[start + size - GRAM]) * _STEP[10])
+
+
+def slices(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
+    """Offsets of the text's slices and the hashes of their grams."""
     for at in range(0, max(1, len(data) - LENGTH + 1), SLICE):
         raw = np.frombuffer(data, np.uint8)[at : at + SLICE + LENGTH - 1]
         if len(raw) < LENGTH:
@@ -60,77 +86,140 @@ def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         for step in _STEP[: GRAM.bit_length() - 1]:
             h = h[:-span] * step + (h[span:] ^ (h[span:] >> np.uint64(29)))
             span *= 2
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        low = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
-        span = 1
-        while 2 * span <= WIDTH:
-            low = np.minimum(low[:-span], low[span:])
-            span *= 2
-        if span < WIDTH:
-            low = np.minimum(low[: len(low) - (WIDTH - span)], low[WIDTH - span :])
-        place = (low & _PLACE).astype(np.int64)
-        first = np.r_[0, np.flatnonzero(np.diff(place)) + 1]
-        parts.append((first + at, np.diff(np.r_[first, len(place)]), h[place[first]].view(np.int64), place[first] - first))
-    if not parts:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
-    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
-
-
-def _combined(mini: np.ndarray, content: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
-    """Rows of one block; of equal segments all but the first are marked as repeated, and get a key of their own that spreads them."""
-    order = np.lexsort((start, ids, content, mini))
-    mini, content, ids, start, size = (c[order] for c in (mini, content, ids, start, size))
-    fresh = np.r_[True, (mini[1:] != mini[:-1]) | (content[1:] != content[:-1])]
-    first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-    keep = fresh | (ids != ids[first]) | (start != start[first])  # else the same row once more
-    mixed = (ids.view(np.uint64) * _STEP[6] + start.view(np.uint64)) * _STEP[7]
-    mini = np.where(fresh, mini, (mixed ^ (mixed >> np.uint64(29))).view(np.int64))
-    columns = (mini, content, ids, start, size, (~fresh).astype(np.int64))
-    return pa.record_batch([pa.array(c[keep]) for c in columns], names=["mini", "content", "id", "start", "size", "known"])
-
-
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each segment: minimizer, content hash, document, start, windows and place of the minimizer (packed), known to be repeated."""
-    import xxhash
+        yield at, _mixed(h)
+
+
+def segments(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """start, windows, minimizer hash and minimizer place (from start) of each segment of a slice."""
+    low = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
+    span = 1
+    while 2 * span <= WIDTH:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    if span < WIDTH:
+        low = np.minimum(low[: len(low) - (WIDTH - span)], low[WIDTH - span :])
+    place = (low & _PLACE).astype(np.int64)
+    first = np.r_[0, np.flatnonzero(np.diff(place)) + 1]
+    return first, np.diff(np.r_[first, len(place)]), grams[place[first]], place[first] - first
+
 
+def part(mini: np.ndarray) -> np.ndarray:
+    return (mini >> np.uint64(64 - PART_BITS)).astype(np.int64)
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """part and number of the different segments in it, summed over blocks."""
+    total = np.zeros(1 << PART_BITS, np.int64)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def settle() -> None:
+        if held:
+            mini, both = (np.concatenate(c) for c in zip(*held, strict=True))
+            once = np.unique(both, return_index=True)[1]
+            np.add.at(total, part(mini[once]), 1)
+            held.clear()
+
+    rows = 0
     for batch in batches:
-        held: list[list[np.ndarray]] = [[], [], [], [], []]
-        rows = 0
-        for i in range(batch.num_rows):
-            data = (batch.column(1)[i].as_py() or "").encode("utf-8", "surrogatepass")
-            start, windows, mini, place = segments(data)
-            if not len(start):
-                continue
-            view = memoryview(data)
-            ends = (start + windows + LENGTH - 1).tolist()
-            content = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(start.tolist(), ends, strict=True)), np.uint64, len(start))
-            for column, v in zip(held, (mini, content.view(np.int64), np.full(len(start), batch.column(0)[i].as_py(), np.int64), start, (windows << 8) | place), strict=True):
-                column.append(v)
-            rows += len(start)
-            if rows > 400_000:
-                yield _combined(*[np.concatenate(c) for c in held])
-                held, rows = [[], [], [], [], []], 0
-        if rows:
-            yield _combined(*[np.concatenate(c) for c in held])
+        for text in batch.column(0):
+            data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            for _, grams in slices(data):
+                start, windows, mini, _ = segments(grams)
+                held.append((mini, _mixed(mini * _STEP[11] ^ _content(grams, start, windows + LENGTH - 1))))
+                rows += len(start)
+            if rows > BLOCK:
+                settle()
+                rows = 0
+    settle()
+    here = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(here), pa.array(total[here])], names=["part", "n"])
+
+
+def large_parts(docs: DataFrame) -> np.ndarray:
+    """Parts whose segments are taken apart: at most ``PARTS`` numbers."""
+    counts = docs.select("text").mapInArrow(_counts, "part long, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    counts = materialize(counts, "parts")  # 2**PART_BITS rows at most
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = np.array(sorted(r[0] for r in counts.where(F.col("n") > max(LEAST_LARGE, total // PARTS)).select("part").collect()), np.int64)
+    remove(counts)
+    return found
+
 
+ROW = "mini long, content long, id long, sub long, start long, size long, known long"
 
-STRING = "mini long, id long, start long, windows int, place int, bytes binary"
+
+def _combined(mini: np.ndarray, content: np.ndarray, document: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray, subs: np.ndarray) -> pa.RecordBatch:
+    """Rows of one block; of equal segments all but the first are marked as repeated, and get a key of their own that spreads them.
+
+    ``document`` is a place in ``ids`` and ``subs``.
+    """
+    rank = np.empty(len(ids), np.int64)
+    order = np.lexsort((subs, ids))
+    rank[order] = np.cumsum(np.r_[False, (np.diff(ids[order]) != 0) | (np.diff(subs[order]) != 0)])
+    place = (rank[document].astype(np.uint64) << np.uint64(40)) | start.astype(np.uint64)
+    both = _mixed(mini * _STEP[11] ^ content)
+    order = np.lexsort((place, both))
+    mini, content, document, start, size, place, both = (c[order] for c in (mini, content, document, start, size, place, both))
+    fresh = np.r_[True, both[1:] != both[:-1]]
+    keep = fresh | np.r_[True, place[1:] != place[:-1]]  # else the same row once more
+    spread = _mixed((ids[document].view(np.uint64) ^ subs[document].view(np.uint64)) * _STEP[6] + start.astype(np.uint64) * _STEP[7])
+    columns = (np.where(fresh, mini, spread).view(np.int64), content.view(np.int64), ids[document], subs[document], start, size, (~fresh).astype(np.int64))
+    return pa.record_batch([pa.array(c[keep]) for c in columns], names=["mini", "content", "id", "sub", "start", "size", "known"])
+
+
+def _found(large: np.ndarray):
+    """A row for each segment: minimizer, content hash, document, start, windows and place of the minimizer (packed), known to be repeated.
+
+    Segments of the parts ``large`` are given as windows, whose own hash stands for the minimizer.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, subs = (batch.column(k).to_numpy() for k in (0, 1))
+            held: list[list[np.ndarray]] = [[], [], [], [], []]
+            rows = 0
+            for i in range(batch.num_rows):
+                data = (batch.column(2)[i].as_py() or "").encode("utf-8", "surrogatepass")
+                for at, grams in slices(data):
+                    start, windows, mini, place = segments(grams)
+                    content = _content(grams, start, windows + LENGTH - 1)
+                    size = (windows << 8) | place
+                    apart = np.isin(part(mini), large)
+                    if apart.any():
+                        n = windows[apart]
+                        own = np.repeat(start[apart], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                        window = _content(grams, own, np.full(len(own), LENGTH))
+                        start, size = np.r_[start[~apart], own], np.r_[size[~apart], np.full(len(own), 1 << 8)]
+                        mini, content = np.r_[mini[~apart], _mixed(window * _STEP[12])], np.r_[content[~apart], window]
+                    for column, v in zip(held, (mini, content, np.full(len(start), i), start + at, size), strict=True):
+                        column.append(v)
+                    rows += len(start)
+                if rows > BLOCK:
+                    yield _combined(*[np.concatenate(c) for c in held], ids, subs)
+                    held, rows = [[], [], [], [], []], 0
+            if rows:
+                yield _combined(*[np.concatenate(c) for c in held], ids, subs)
+
+    return run
+
+
+STRING = "mini long, id long, sub long, start long, windows int, place int, bytes binary"
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the segments that are to be compared, from (id, text, list of (start, size, mini))."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    names = ["mini", "id", "start", "windows", "place", "bytes"]
+    """The bytes of the segments that are to be compared, from (id, sub, text, list of (start, size, mini))."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["mini", "id", "sub", "start", "windows", "place", "bytes"]
     for batch in batches:
         rows = []
         for i in range(batch.num_rows):
-            data = (batch.column(1)[i].as_py() or "").encode("utf-8", "surrogatepass")
-            for s in batch.column(2)[i].as_py():
+            data = (batch.column(2)[i].as_py() or "").encode("utf-8", "surrogatepass")
+            key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            for s in batch.column(3)[i].as_py():
                 windows = s["size"] >> 8
-                rows.append((s["mini"], batch.column(0)[i].as_py(), s["start"], windows, s["size"] & 255, data[s["start"] : s["start"] + windows + LENGTH - 1]))
+                rows.append((s["mini"], *key, s["start"], windows, s["size"] & 255, data[s["start"] : s["start"] + windows + LENGTH - 1]))
             if len(rows) > 20_000 or i == batch.num_rows - 1:
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], names=names)
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], names=names)
                 rows = []
 
 
@@ -148,20 +237,23 @@ def _range_minimum(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
     return out
 
 
-def repeated_windows(group: np.ndarray, order_key: np.ndarray, columns: np.ndarray, begin: np.ndarray, windows: np.ndarray) -> list[tuple[np.ndarray, int]]:
+def repeated_windows(group: np.ndarray, order_key: np.ndarray, column, begin: np.ndarray, windows: np.ndarray) -> list[tuple[np.ndarray, int]]:
     """(strings, column) pairs of windows that occur earlier.
 
-    ``columns[x]`` has the symbol of every string in column ``x``; a string's windows start in columns ``begin`` to
+    ``column(x)`` reads the symbols of every string in column ``x``; a string's windows start in columns ``begin`` to
     ``begin + windows - 1``. Strings of different groups are never compared; ``order_key`` gives the document order of
-    the strings' first bytes, as (rank, start) pairs.
+    the strings' first bytes, as (document, start) pairs.
     """
     out = []
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group, kind="stable")  # the string at each place
+    place = np.empty_like(order)  # the place of each string
+    place[order] = np.arange(len(order))
+    own = group[order].astype(np.int64) * 256  # strings move within their groups only
     prefix = np.zeros(len(group), np.uint8)  # common prefix with the string before in order, at most LENGTH
+    transform = np.empty(len(group), np.int64)
     for x in range(COLUMNS - 1, -1, -1):
-        symbol = np.asarray(columns[x])[order].astype(np.int64)
-        own = group[order]
-        key = own * 256 + symbol
+        transform[place] = column(x)  # a symbol of every string, in the order of what follows it
+        key = own + transform
         move = np.argsort(key, kind="stable")
         same = np.r_[False, key[move][1:] == key[move][:-1]]
         at = np.flatnonzero(same)
@@ -169,6 +261,7 @@ def repeated_windows(group: np.ndarray, order_key: np.ndarray, columns: np.ndarr
         if len(at):
             fresh[at] = np.minimum(_range_minimum(prefix, move[at - 1] + 1, move[at]), LENGTH - 1) + 1
         order, prefix = order[move], fresh
+        place[order] = np.arange(len(order))
         if x > COLUMNS - LENGTH:
             continue
         valid = (begin[order] <= x) & (x < begin[order] + windows[order])
@@ -177,64 +270,76 @@ def repeated_windows(group: np.ndarray, order_key: np.ndarray, columns: np.ndarr
         if not len(here):
             continue
         strings = order[here]
-        place = np.lexsort((order_key[strings, 1] + (x - begin[strings]), order_key[strings, 0], chain[here]))
-        repeated = np.r_[False, chain[here][place][1:] == chain[here][place][:-1]]
+        chain, document, start = chain[here], order_key[strings, 0], order_key[strings, 1] + (x - begin[strings])
+        by = np.lexsort((start, document, chain))
+        new = np.r_[True, chain[by][1:] != chain[by][:-1]]
+        first = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        repeated = (document[by] != document[first]) | (start[by] != start[first])  # a repeated row is the same place once more
         if repeated.any():
-            out.append((strings[place[repeated]], x))
+            out.append((strings[by[repeated]], x))
     return out
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, start, windows of repeated windows, from strings sorted by minimizer; groups are kept whole."""
-    import tempfile
+def _compared(folder: str):
+    """id, sub, start, windows of repeated windows, from strings sorted by minimizer; groups are kept whole."""
 
     def solve(tables: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(tables)
-        mini, ids, start, windows, place = (table.column(i).to_numpy() for i in range(5))
+        mini, ids, subs, start, windows, place = (table.column(i).to_numpy() for i in range(6))
         begin = WIDTH - 1 - place.astype(np.int64)
         group = np.unique(mini, return_inverse=True)[1]
-        with tempfile.TemporaryFile() as f:
-            columns = np.zeros((COLUMNS, len(mini)), np.uint8)
-            data = table.column(5).combine_chunks()
-            data = data.chunk(0) if isinstance(data, pa.ChunkedArray) else data
-            ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
-            raw = np.frombuffer(data.buffers()[2], np.uint8) if data.buffers()[2] is not None else np.zeros(0, np.uint8)
-            for x in range(COLUMNS):
-                inside = (x >= begin) & (x < begin + np.diff(ends))
-                columns[x, inside] = raw[(ends[:-1] + x - begin)[inside]]
-                columns[x].tofile(f)
-            f.flush()
-            columns = np.memmap(f, np.uint8, "r", shape=(COLUMNS, len(mini)))
-            hits = repeated_windows(group, np.stack([ids, start], 1), columns, begin, windows.astype(np.int64))
-            del columns
+        documents = np.empty(len(ids), np.int64)
+        order = np.lexsort((subs, ids))
+        documents[order] = np.cumsum(np.r_[False, (np.diff(ids[order]) != 0) | (np.diff(subs[order]) != 0)])
+        strings = table.column(6).to_pylist()
+        ends = np.cumsum([0, *map(len, strings)])
+        raw = np.frombuffer(b"".join(strings), np.uint8)
+        files, top = store(folder)
+        name = f"{top}/columns-{uuid.uuid4().hex}"
+        files.create_dir(top, recursive=True)
+        try:
+            with files.open_output_stream(name) as f:
+                for x in range(COLUMNS):
+                    symbols = np.zeros(len(mini), np.uint8)
+                    inside = (x >= begin) & (x < begin + np.diff(ends))
+                    symbols[inside] = raw[(ends[:-1] + x - begin)[inside]]
+                    f.write(symbols.tobytes())
+            with files.open_input_file(name) as f:
+                column = lambda x: np.frombuffer(f.read_at(len(mini), x * len(mini)), np.uint8)
+                hits = repeated_windows(group, np.stack([documents, start], 1), column, begin, windows.astype(np.int64))
+        finally:
+            files.delete_file(name)
         if not hits:
-            return pa.record_batch([pa.array([], pa.int64())] * 3, names=["id", "start", "windows"])
+            return pa.record_batch([pa.array([], pa.int64())] * 4, names=["id", "sub", "start", "windows"])
         string = np.concatenate([h[0] for h in hits])
         at = start[string] + np.concatenate([np.full(len(h[0]), h[1]) for h in hits]) - begin[string]
         order = np.lexsort((at, string))
         string, at = string[order], at[order]
         first = np.r_[True, (np.diff(string) != 0) | (np.diff(at) != 1)]
         runs = np.flatnonzero(first)
-        return pa.record_batch([pa.array(ids[string[runs]]), pa.array(at[runs]), pa.array(np.diff(np.r_[runs, len(at)]))], names=["id", "start", "windows"])
+        return pa.record_batch([pa.array(c) for c in (ids[string[runs]], subs[string[runs]], at[runs], np.diff(np.r_[runs, len(at)]))], names=["id", "sub", "start", "windows"])
 
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if rows >= STRINGS:  # the last group may go on in this batch
-            last = held[-1].column(0)[-1].as_py()
-            cut = int(np.searchsorted(batch.column(0).to_numpy(), last, side="right"))
-            held.append(batch.slice(0, cut))
-            batch = batch.slice(cut)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rows >= STRINGS:  # the last group may go on in this batch
+                last = held[-1].column(0)[-1].as_py()
+                cut = int(np.searchsorted(batch.column(0).to_numpy(), last, side="right"))
+                held.append(batch.slice(0, cut))
+                batch = batch.slice(cut)
+                if batch.num_rows:
+                    yield solve(held)
+                    held, rows = [], 0
             if batch.num_rows:
-                yield solve(held)
-                held, rows = [], 0
-        if batch.num_rows:
-            held.append(batch)
-            rows += batch.num_rows
-    if held:
-        yield solve(held)
+                held.append(batch)
+                rows += batch.num_rows
+        if held:
+            yield solve(held)
+
+    return run
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,29 +368,32 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """id, start, windows: runs of windows of ``docs`` (id, text) that occur earlier."""
-    found = docs.mapInArrow(_found, "mini long, content long, id long, start long, size long, known long")
+    """id, sub, start, windows: runs of windows of ``docs`` (id, sub, text) that occur earlier."""
+    found = docs.mapInArrow(_found(large_parts(docs)), ROW)
     own = Window.partitionBy("mini")
-    ordered = own.orderBy("content", "id", "start")
-    before = F.lag(F.struct("content", "id", "start")).over(ordered)
+    ordered = own.orderBy("content", "id", "sub", "start")
+    before = F.lag(F.struct("content", "id", "sub", "start")).over(ordered)
     found = found.withColumns({"before": before, "least": F.min("content").over(own), "most": F.max("content").over(own)})
     same = F.col("before.content") == F.col("content")
-    again = same & (F.col("before.id") == F.col("id")) & (F.col("before.start") == F.col("start"))  # the same row once more
+    again = same & (F.col("before.id") == F.col("id")) & (F.col("before.sub") == F.col("sub")) & (F.col("before.start") == F.col("start"))  # the same row once more
     found = found.withColumn("kind", F.when(F.col("known") == 1, 1).when(again, 0).when(same, 1).when(F.col("least") != F.col("most"), 2).otherwise(0)).where("kind > 0")
-    found = materialize(found.select("mini", "id", "start", "size", "kind"), "segments")
-    wanted = found.where("kind = 2").groupBy("id").agg(F.collect_list(F.struct("start", "size", "mini")).alias("segments"))
-    strings = docs.join(wanted, "id").select("id", "text", "segments").mapInArrow(_strings, STRING)
-    compared = strings.repartition(F.col("mini")).sortWithinPartitions("mini").mapInArrow(_compared, "id long, start long, windows long")
-    whole = found.where("kind = 1").select("id", "start", F.shiftright("size", 8).alias("windows"))
+    found = materialize(found.select("mini", "id", "sub", "start", "size", "kind"), "segments")
+    wanted = found.where("kind = 2").groupBy("id", "sub").agg(F.collect_list(F.struct("start", "size", "mini")).alias("segments"))
+    strings = docs.join(wanted, ["id", "sub"]).select("id", "sub", "text", "segments").mapInArrow(_strings, STRING)
+    folder = f"{shared_dir(docs.sparkSession)}/columns-{uuid.uuid4().hex}"
+    compared = strings.repartition(F.col("mini")).sortWithinPartitions("mini").mapInArrow(_compared(folder), "id long, sub long, start long, windows long")
+    whole = found.where("kind = 1").select("id", "sub", "start", F.shiftright("size", 8).alias("windows"))
     return whole.union(compared)
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, n_spans and the kept bytes of every row of ``docs``."""
-    docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text).alias("text"))
-    runs = repeated_runs(docs).groupBy("id").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
-    out = docs.join(runs, "id", "left").select("id", "text", "runs").mapInArrow(_removed, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.withColumn("id", F.nullif("id", F.lit(NULL_ID)))
+    own = F.xxhash64(F.col(text))
+    sub = F.when(F.col(key).isNull(), own.bitwiseOR(F.lit(NULL_ID))).otherwise(own.bitwiseAND(F.lit((1 << 63) - 1)))
+    docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), sub.alias("sub"), F.col(text).alias("text"))
+    runs = repeated_runs(docs).groupBy("id", "sub").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    rows = docs.join(runs, ["id", "sub"], "left").select(F.when((F.col("sub") >= 0) | (F.col("id") != NULL_ID), F.col("id")).alias("id"), "text", "runs")
+    return rows.mapInArrow(_removed, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op4_column_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,11 +402,11 @@ def op4_column_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plain(texts: list[tuple[int, str | None]]) -> list[tuple[int, int, int, int, str]]:
-    """The same by brute force, for tests."""
-    first: dict[bytes, tuple[int, int]] = {}
-    data = {i: (t or "").encode() for i, t in sorted(texts, key=lambda x: x[0])}
+    """The same by brute force, for tests; ``texts`` in document order, keys of any kind."""
+    first: dict[bytes, tuple] = {}
     out = []
-    for i, d in data.items():
+    for i, text in texts:
+        d = (text or "").encode()
         gone = np.zeros(len(d), bool)
         for p in range(len(d) - LENGTH + 1):
             if first.setdefault(d[p : p + LENGTH], (i, p)) != (i, p):
