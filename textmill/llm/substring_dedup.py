@@ -42,6 +42,8 @@ GRAM = 32
 WIDTH = LENGTH - GRAM + 1
 #: Bytes of a text handled at once; the next slice begins LENGTH - 1 bytes before the end of the last.
 SLICE = 1 << 20
+#: Texts are handled end to end until they have so many bytes.
+GROUP = 1 << 17
 #: Strings that are built together, if their minimizers allow.
 STRINGS = 40_000
 #: Columns: up to WIDTH - 1 bytes before the minimizer, GRAM, and WIDTH - 1 after.
@@ -51,7 +53,7 @@ NULL_ID = -(1 << 63)
 #: Bits of a minimizer's hash by which segments are counted.
 PART_BITS = 20
 #: A part with more segments than this, and than total / PARTS, is taken apart.
-LEAST_LARGE, PARTS = 256, 100_000
+LEAST_LARGE, PARTS = 256, 20_000
 #: Rows of a block.
 BLOCK = 400_000
 
@@ -76,21 +78,34 @@ def _content(grams: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarr
     return _mixed((out ^ grams[start + size - GRAM]) * _STEP[10])
 
 
-def slices(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
-    """Offsets of the text's slices and the hashes of their grams."""
-    for at in range(0, max(1, len(data) - LENGTH + 1), SLICE):
-        raw = np.frombuffer(data, np.uint8)[at : at + SLICE + LENGTH - 1]
-        if len(raw) < LENGTH:
-            break
-        h, span = _BYTE[raw], 1
-        for step in _STEP[: GRAM.bit_length() - 1]:
-            h = h[:-span] * step + (h[span:] ^ (h[span:] >> np.uint64(29)))
-            span *= 2
-        yield at, _mixed(h)
-
-
-def segments(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """start, windows, minimizer hash and minimizer place (from start) of each segment of a slice."""
+def groups(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Bytes of several texts or slices end to end; of each the row, its offset in the text, and its size."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        row, at = (np.array([h[k] for h in held], np.int64) for k in (0, 1))
+        return np.frombuffer(b"".join(h[2] for h in held), np.uint8), row, at, np.array([len(h[2]) for h in held])
+
+    for i, text in enumerate(texts):
+        data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+        for at in range(0, len(data) - LENGTH + 1, SLICE):
+            held.append((i, at, data[at : at + SLICE + LENGTH - 1]))
+            size += len(held[-1][2])
+            if size > GROUP:
+                yield joined()
+                held, size = [], 0
+    if held:
+        yield joined()
+
+
+def segments(raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """start (in ``raw``), windows, minimizer hash and place (from start), text and content of each segment, and the hashes of all grams."""
+    h, span = _BYTE[raw], 1
+    for step in _STEP[: GRAM.bit_length() - 1]:
+        h = h[:-span] * step + (h[span:] ^ (h[span:] >> np.uint64(29)))
+        span *= 2
+    grams = _mixed(h)
     low = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
     span = 1
     while 2 * span <= WIDTH:
@@ -99,8 +114,17 @@ def segments(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     if span < WIDTH:
         low = np.minimum(low[: len(low) - (WIDTH - span)], low[WIDTH - span :])
     place = (low & _PLACE).astype(np.int64)
-    first = np.r_[0, np.flatnonzero(np.diff(place)) + 1]
-    return first, np.diff(np.r_[first, len(place)]), grams[place[first]], place[first] - first
+    windows = sizes - LENGTH + 1
+    ends = np.cumsum(sizes)
+    if len(sizes) > 1:  # windows that lie in one text
+        own = np.arange(windows.sum()) + np.repeat((ends - sizes) - (np.cumsum(windows) - windows), windows)
+        place = place[own]
+    else:
+        own = np.arange(len(place))
+    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    start, count = own[first], np.diff(np.append(first, len(place)))
+    text = np.searchsorted(ends, start, side="right")
+    return start, count, grams[place[first]], place[first] - start, text, _content(grams, start, count + LENGTH - 1), grams
 
 
 def part(mini: np.ndarray) -> np.ndarray:
@@ -121,12 +145,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     rows = 0
     for batch in batches:
-        for text in batch.column(0):
-            data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            for _, grams in slices(data):
-                start, windows, mini, _ = segments(grams)
-                held.append((mini, _mixed(mini * _STEP[11] ^ _content(grams, start, windows + LENGTH - 1))))
-                rows += len(start)
+        for raw, _, _, sizes in groups(batch.column(0)):
+            _, _, mini, _, _, content, _ = segments(raw, sizes)
+            held.append((mini, _mixed(mini * _STEP[11] ^ content)))
+            rows += len(mini)
             if rows > BLOCK:
                 settle()
                 rows = 0
@@ -170,7 +192,7 @@ def _combined(mini: np.ndarray, content: np.ndarray, document: np.ndarray, start
 def _found(large: np.ndarray):
     """A row for each segment: minimizer, content hash, document, start, windows and place of the minimizer (packed), known to be repeated.
 
-    Segments of the parts ``large`` are given as windows, whose own hash stands for the minimizer.
+    Segments of the parts ``large`` are given as windows, whose own hash stands for minimizer and content.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,22 +200,20 @@ def _found(large: np.ndarray):
             ids, subs = (batch.column(k).to_numpy() for k in (0, 1))
             held: list[list[np.ndarray]] = [[], [], [], [], []]
             rows = 0
-            for i in range(batch.num_rows):
-                data = (batch.column(2)[i].as_py() or "").encode("utf-8", "surrogatepass")
-                for at, grams in slices(data):
-                    start, windows, mini, place = segments(grams)
-                    content = _content(grams, start, windows + LENGTH - 1)
-                    size = (windows << 8) | place
-                    apart = np.isin(part(mini), large)
-                    if apart.any():
-                        n = windows[apart]
-                        own = np.repeat(start[apart], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                        window = _content(grams, own, np.full(len(own), LENGTH))
-                        start, size = np.r_[start[~apart], own], np.r_[size[~apart], np.full(len(own), 1 << 8)]
-                        mini, content = np.r_[mini[~apart], _mixed(window * _STEP[12])], np.r_[content[~apart], window]
-                    for column, v in zip(held, (mini, content, np.full(len(start), i), start + at, size), strict=True):
-                        column.append(v)
-                    rows += len(start)
+            for raw, row, at, sizes in groups(batch.column(2)):
+                start, windows, mini, place, text, content, grams = segments(raw, sizes)
+                size = (windows << 8) | place
+                apart = np.isin(part(mini), large)
+                if apart.any():
+                    n = windows[apart]
+                    own = np.repeat(start[apart], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    window = _content(grams, own, np.full(len(own), LENGTH))
+                    start, size, text = np.r_[start[~apart], own], np.r_[size[~apart], np.full(len(own), 1 << 8)], np.r_[text[~apart], np.repeat(text[apart], n)]
+                    mini, content = np.r_[mini[~apart], window], np.r_[content[~apart], window]
+                offset = at - (np.cumsum(sizes) - sizes)
+                for column, v in zip(held, (mini, content, row[text], start + offset[text], size), strict=True):
+                    column.append(v)
+                rows += len(start)
                 if rows > BLOCK:
                     yield _combined(*[np.concatenate(c) for c in held], ids, subs)
                     held, rows = [[], [], [], [], []], 0
