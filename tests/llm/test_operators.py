@@ -326,24 +326,44 @@ def test_winnowing_against_plain_search(spark, docs, limit):
 
 def test_elias_fano():
     rng = np.random.default_rng(4)
-    for top in (0, 10, 5_000, 10_000_000):
+    for top in (0, 10, 5_000, 10_000_000, 1 << 40):
         values = np.sort(rng.integers(0, top + 1, 3000))
-        assert (ngram.EliasFano(ngram.EliasFano.build(values)).get(np.arange(3000)) == values).all()
+        form = ngram.EliasFano(ngram.EliasFano.build(values))
+        assert (form.get(np.arange(3000)) == values).all()
+        low, end = np.sort(rng.integers(0, 3001, (2, 4000)), axis=0)
+        want = np.r_[values[rng.integers(0, 3000, 2000)], rng.integers(0, top + 9, 2000)]
+        for i, a, b, v in zip(form.find(low.copy(), end.copy(), want).tolist(), low.tolist(), end.tolist(), want.tolist(), strict=True):
+            assert i == next((k for k in range(a, b) if values[k] == v), -1) if top < 10_000 else (i >= 0) == (v in values[a:b]) and (i < 0 or values[i] == v and a <= i < b)
+    assert (ngram.EliasFano(ngram.EliasFano.build(np.zeros(0, np.int64))).find(np.zeros(3, np.int64), np.zeros(3, np.int64), np.arange(3)) == -1).all()
+
+
+def test_long_blocks_count_alike(monkeypatch):
+    rng = np.random.default_rng(12)
+    codes, firsts = rng.integers(0, 30, 2000).astype(np.uint32), np.array([0, 1, 3, 700, 1999])
+    short = ngram.Block(codes, firsts).triples()
+    monkeypatch.setattr(ngram, "LOCAL", 2)  # as if there were too many different words
+    assert all((x == y).all() for x, y in zip(short, ngram.Block(codes, firsts).triples(), strict=True))
+    parts = np.split(codes.tolist(), firsts[1:])
+    want = collections.Counter(t for p in parts for t in zip(p, p[1:], [*p[2:], ngram.NONE], strict=False))
+    assert dict(zip(zip(*(c.tolist() for c in short[:3]), strict=True), short[3].tolist(), strict=True)) == want
+    assert (ngram._unplaned(ngram._planes(*short), 4) == np.stack(short)).all()
 
 
 def test_ngrams_seen_once_are_kept(spark):
     texts = ["once upon a time", "upon a hill", "a time"]
     frame = spark.createDataFrame([*enumerate(texts), (9, "once upon a hill")], "id long, text string")
     trie, coded = ngram.build(frame, F.col("id") < 9)
-    pairs = {p for t in texts for p in zip([*t.split(), ""], [*t.split(), ""][1:], strict=False)}
-    assert trie.second[-1] == len(pairs)
+    padded = [[*t.split(), ""] for t in texts]
+    pairs, triples = {p for t in padded for p in zip(t, t[1:], strict=False)}, {p for t in padded for p in zip(t, t[1:], t[2:], strict=False)}
+    assert (trie.shard("2/0")["words2"].size, trie.shard("2/0")["words3"].size) == (len(pairs), len(triples))
     held = next(r for r in ngram.scored(coded, trie).collect() if r["id"] == 9)
     assert held["score"] > held["base_score"] + 1
 
 
-@pytest.mark.parametrize("shard_words", [500_000, 1])
-def test_scores_against_plain_model(spark, monkeypatch, shard_words):
+@pytest.mark.parametrize(("shard_words", "shard_tokens"), [(500_000, 1_000_000), (1, 1_000_000), (500_000, 300), (2, 50)])
+def test_scores_against_plain_model(spark, monkeypatch, shard_words, shard_tokens):
     monkeypatch.setattr(ngram, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(ngram, "SHARD_TOKENS", shard_tokens)  # the smallest splits single words
     rng = np.random.default_rng(8)
     rows = [(i, " ".join(rng.choice(["a", "B", "b", "c", "dd"], int(rng.integers(0, 60)), p=[0.4, 0.1, 0.2, 0.2, 0.1]))) for i in range(120)] + [(500, None), (501, "unseen words here")]
     toks = {i: words((t or "").translate(CAPITALS)) + ["\n"] for i, t in rows}
@@ -351,7 +371,6 @@ def test_scores_against_plain_model(spark, monkeypatch, shard_words):
     c1 = collections.Counter(w for t in train for w in t)
     c2 = collections.Counter(p for t in train for p in zip(t, t[1:], strict=False))
     c3 = collections.Counter(p for t in train for p in zip(t, t[1:], t[2:], strict=False))
-    c2, c3 = ({k: v for k, v in c.items() if v >= ngram.MIN_COUNT} for c in (c2, c3))
     n, v, d = sum(c1.values()), len(c1), ngram.DISCOUNT
     left = lambda c, total: lambda ctx: 1 - sum((x - d) / total[ctx] for k, x in c.items() if k[:-1] == ctx)
     keep2, keep3 = left(c2, {(k,): x for k, x in c1.items()}), left(c3, c2)
@@ -370,6 +389,7 @@ def test_scores_against_plain_model(spark, monkeypatch, shard_words):
     docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
     trie, coded = ngram.build(docs, F.col("id") < 500)
     assert (trie.total, trie.types) == (n, v)
+    assert (len(trie.split) > 0) == (shard_tokens < 1000)
     for r in ngram.scored(coded, trie).collect():
         t = toks[r["id"]]
         assert (r["n_tokens"], r["n_known"]) == (len(t), sum(w in c1 for w in t))
