@@ -530,3 +530,49 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 50)}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_with_many_hubs(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LEAST_LARGE", 5)
+    rng = np.random.default_rng(1)
+    edges = [(900 + i, 5000 - i) for i in range(60)] + [(10_000, i) for i in range(300, 400)] + [(9_999, 300)] + [tuple(map(int, e)) for e in rng.integers(20_000, 20_400, (300, 2))]
+    edges += [(9_000, 20_000 + i) for i in range(0, 400, 50)] + [(None, 4), (5, None)]
+    root = {x: x for e in edges for x in e if None not in e}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        if a is not None and b is not None:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: find(i) for i in root if find(i) != i}
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{j}" for j in range(60)) for x in "abc")
+    near = lambda t, k: " ".join([*t.split()[:-k], *[f"new{j}" for j in range(k)]])
+    rows = [(1, a), (1, b), (3, near(b, 2)), (7, near(a, 1)), (7, c), (7, c), (9, near(c, 1)), (None, a), (None, a), (12, c.upper()), (12, c), (20, ""), (20, ""), (21, None)]
+    frame = spark.createDataFrame([(*r, k, "s", 0) for k, r in enumerate(rows)], "doc_id long, text string, own int, seq string, id int").repartition(3)
+    got = collections.Counter((r["id"], r["n"], r["component"]) for r in neardup.forest_components(frame).collect())
+    n = lambda t: len(shingles(t))
+    want = [1, 1, 1, 1, 7, 7, 7, None, None, 7, 7, 20, 20, 21]
+    assert got == collections.Counter((i, n(t), w) for (i, t), w in zip(rows, want, strict=True))
+    out = neardup.deduplicated(frame)
+    assert out.columns == frame.columns
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "", r["seq"]) for r in out.collect())
+    assert kept == sorted((i is None, i or 0, t or "", "s") for i, t in [(1, a), (1, b), (7, c), (None, a), (None, a), (20, ""), (20, ""), (21, None)])
+
+
+def test_very_large_regions_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LEAST_LARGE", 20)
+    rng = np.random.default_rng(4)
+    base = [f"w{j}" for j in range(104)]
+    rows = [(i, " ".join([f"new{i}" if p == at else w for p, w in enumerate(base)] + [f"end{i}"])) for i, at in enumerate(rng.integers(10, 100, 500).tolist())]
+    rows += [(1000 + i, " ".join(f"{i}x{j}" for j in range(30))) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = {r["id"]: r["component"] for r in neardup.forest_components(frame).collect()}
+    assert out == {i: 0 if i < 1000 else i for i, _ in rows}

@@ -7,25 +7,43 @@ from pyspark.sql import functions as F
 
 from textmill.llm.common import checkpoint
 
+#: A node with more edges than this, and than edges / PARTS, is joined by broadcast; so at most 2 * PARTS are.
+LEAST_LARGE, PARTS = 256, 10_000
+
+
+def _with_least(edges: DataFrame, count: int) -> DataFrame:
+    """u, v and m: the smallest of u and its neighbours v.
+
+    The minima are pre-aggregated. Edges of nodes with very many meet them by broadcast, where they lie; only the others are dealt by node.
+    """
+    least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("edges"))
+    most = max(LEAST_LARGE, count // PARTS)
+    hubs = least.where(F.col("edges") > most).select("u", "m").collect() if count > most else []  # 2 * PARTS rows at most
+    if not hubs:
+        return edges.join(least.select("u", "m"), "u")
+    hubs = F.broadcast(edges.sparkSession.createDataFrame(hubs, "u long, m long"))
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(least.select("u", "m"), "u")
+    return rest.union(edges.join(hubs, "u").select(*rest.columns))
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (two long columns, in any order) but the roots; root is the smallest node reachable.
 
-    Alternating large-star and small-star steps. Smallest neighbours are found by a pre-aggregated group-by and joined
-    back, so a node with very many edges is never gathered in one place. Each step is checkpointed.
+    Alternating large-star and small-star steps, each checkpointed. Edges with a null end are left out, as are loops; repeated edges count once;
+    an empty table gives no rows.
     """
     u, v = edges.columns
     pairs = edges.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct()
     pairs = checkpoint(pairs)
-    state = None
-    while True:
+    state, count = None, pairs.count()
+    while count:
         both = pairs.union(pairs.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).where("u != v").distinct()
+        large = checkpoint(_with_least(both, 2 * count).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        small = _with_least(large, count).select("u", "v", "m")
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         pairs = checkpoint(small)
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = now
+            break
+        state, count = now, now[0]
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -14,10 +14,16 @@ Of a region of more nodes than a node's neighbours, not all pairs have been trie
 components, the nodes outside its main one are compared with all nodes of such regions by an exact prefix-filtered
 search: they are broadcast, part by part, and the others pass by in a map, so no region is gathered in one task and only links are returned.
 
-At similarity 0.75, a pair shares a tree's first three values with probability 0.42, and none of 24 with two in a million.
+A very large region (more rows than ``LEAST_LARGE`` and than rows / ``PARTS``) is dealt to several tasks by a hash of the node. Its nodes meet their neighbours
+there and the first node of the whole region, by a broadcast of at most about ``PARTS`` rows; the exact search covers the rest.
+
+At similarity 0.75, a pair shares a tree's first three values with probability 0.42, and none of 24 with two in a million; that is the chance that a pair is missed by
+a region's exact search. A pair of a small region is always tried.
 
 Cases: texts that are null or without words have no shingles and link with nothing; equal or repeated rows are
-linked to each other; a repeated id with different texts has one result for each row; ids should not be null; an empty table gives no rows.
+linked to each other; rows with one id and different texts are different documents, and each has its own component; a row with a null id
+cannot be named by a component: it is linked with nothing, its component is null and it stays; ties in signatures are ordered by node, and do not change
+links; a very long text has a set of as many shingles; further columns, whatever their names, are not read by ``forest_components`` and kept by ``deduplicated``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm.common import base_documents, materialize
+from textmill.llm.common import base_documents, materialize, remove
 from textmill.llm.graph import components
 
 WIDTH = 5
@@ -41,6 +47,10 @@ CACHED_WORDS = 500_000
 #: Bytes of shingle sets that are broadcast at once.
 SEARCH_BYTES = 32 << 20
 
+#: Bits of a region's hash by which rows are counted, and what makes a region very large.
+PART_BITS = 20
+LEAST_LARGE, PARTS = 256, 20_000
+
 _RNG = np.random.default_rng(20240601)
 _MULTIPLY = _RNG.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
@@ -97,32 +107,75 @@ def signature(shingles: np.ndarray) -> bytes:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ns, seqs, sigs = [], [], []
-        for text in batch.column(1):
+        for text in batch.column(2):
             grams, seq = shingle_hashes(text.as_py())
             ns.append(len(grams))
             seqs.append(seq or None)
             sigs.append(signature(grams) if len(grams) else None)
-        yield pa.record_batch([batch.column(0), pa.array(ns, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary())], names=["id", "n", "seq", "sig"])
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary())], names=["id", "own", "n", "seq", "sig"])
 
 
-def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each node and tree: the hash of tree and first values, the tree's whole signature, node, size."""
+def _parts(sigs: list[bytes]) -> np.ndarray:
+    """Hashes of tree and first values, of each tree of each signature."""
     import xxhash
 
     size = 4 * DEPTH
+    return np.array([xxhash.xxh3_64_intdigest(sig[t * size : t * size + 4 * MIN_DEPTH], t) >> 1 for sig in sigs for t in range(TREES)], np.int64)
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << PART_BITS, np.int64)
     for batch in batches:
-        part, key = [], []
-        for sig in batch.column(2).to_pylist():
-            for t in range(TREES):
-                own = sig[t * size : (t + 1) * size]
-                part.append(xxhash.xxh3_64_intdigest(own[: 4 * MIN_DEPTH], t) >> 1)
-                key.append(own)
-        ids, ns = (np.repeat(batch.column(i).to_numpy(), TREES) for i in (0, 1))
-        yield pa.record_batch([pa.array(part, pa.int64()), pa.array(key, pa.binary()), pa.array(ids), pa.array(ns)], names=["part", "key", "node", "n"])
+        total += np.bincount(_parts(batch.column(0).to_pylist()) >> (63 - PART_BITS), minlength=1 << PART_BITS)
+    here = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(here), pa.array(total[here])], names=["bucket", "rows"])
+
+
+def large_regions(nodes: DataFrame) -> dict[int, int]:
+    """Parts of the hash with very large regions, and into how many each of these is dealt; at most ``PARTS``."""
+    counts = materialize(nodes.select("sig").mapInArrow(_counts, "bucket long, rows long").groupBy("bucket").agg(F.sum("rows").alias("rows")), "regions")
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    most = max(LEAST_LARGE, total // PARTS)
+    found = {r["bucket"]: -(-r["rows"] // most) for r in counts.where(F.col("rows") > most).collect()}
+    remove(counts)
+    return found
+
+
+def _trees(large: dict[int, int], only: bool = False):
+    """A row for each node and tree: where it is dealt, the tree's whole signature, node, size, and its region; ``only`` those of very large regions."""
+    turns = np.ones(1 << PART_BITS, np.int64)
+    if large:
+        turns[list(large)] = list(large.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 4 * DEPTH
+        for batch in batches:
+            sigs = batch.column(2).to_pylist()
+            part = _parts(sigs)
+            key = np.array([sig[t * size : (t + 1) * size] for sig in sigs for t in range(TREES)], object)
+            node, n = (np.repeat(batch.column(i).to_numpy(), TREES) for i in (0, 1))
+            turn = turns[part >> (63 - PART_BITS)]
+            spread = (_mix(node.astype(np.int64).view(np.uint64)) % turn.astype(np.uint64)) + np.uint64(1)
+            deal = np.where(turn > 1, (_mix(part.view(np.uint64) ^ spread * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)).view(np.int64), part)
+            here = np.flatnonzero(turn > 1) if only else slice(None)
+            yield pa.record_batch([pa.array(deal[here]), pa.array(key[here].tolist(), pa.binary()), pa.array(node[here]), pa.array(n[here]), pa.array(part[here])], names=["deal", "key", "node", "n", "part"])
+
+    return run
+
+
+TREE = "deal long, key binary, node long, n long, part long"
+
+
+def region_firsts(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each node of the very large regions and the first node of its region, from all their rows."""
+    first = rows.groupBy("part").agg(F.min(F.struct("key", "node", "n")).alias("first"))
+    pairs = rows.join(F.broadcast(first), "part").where(F.col("node") != F.col("first.node"))  # a row for each very large region
+    fits = DENOMINATOR * F.least("n", "first.n") >= NUMERATOR * F.greatest("n", "first.n")
+    return pairs.where(fits).select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs from rows sorted by part, key and node; kind 0: with the first node of a region, 1: with others.
+    """Pairs from rows sorted by deal, key and node; kind 0: with the first node of a region, 1: with others.
 
     Kind 2: part and node of each row of a region of more than ``NEIGHBOURS + 1``, whose pairs are not all tried.
     Held: the last row, one row for each depth, and the last ``NEIGHBOURS`` rows of the region.
@@ -136,12 +189,12 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = batch.num_rows
         if not rows:
             continue
-        part, node, n = (batch.column(i).to_numpy() for i in (0, 2, 3))
+        deal, node, n, part = (batch.column(i).to_numpy() for i in (0, 2, 3, 4))
         key = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(rows, DEPTH)
         same = np.zeros((rows, DEPTH), bool)
-        same[1:] = (key[1:] == key[:-1]) & (part[1:] == part[:-1])[:, None]
+        same[1:] = (key[1:] == key[:-1]) & (deal[1:] == deal[:-1])[:, None]
         if last is not None:
-            same[0] = (key[0] == last[1]) & (part[0] == last[0])
+            same[0] = (key[0] == last[1]) & (deal[0] == last[0])
         depth = np.logical_and.accumulate(same, axis=1).sum(axis=1)
         a, b, kind = [], [], []
         for i in np.flatnonzero(depth >= MIN_DEPTH).tolist():
@@ -166,7 +219,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             recent = [*recent[1 - NEIGHBOURS :], me]
             open_at = i
         open_at = -1 if open_at == rows - 1 else None
-        last = (part[-1], key[-1].copy(), int(node[-1]), int(n[-1]))
+        last = (deal[-1], key[-1].copy(), int(node[-1]), int(n[-1]))
         yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(kind, pa.int32())], names=["a", "b", "kind"])
 
 
@@ -291,20 +344,41 @@ def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame) -> Da
     return out
 
 
+def _named(nodes: DataFrame) -> tuple[DataFrame, bool]:
+    """``nodes`` with a name (node) for each: its smallest id, and where several have the same, a free number for all but one; whether there are such."""
+    again = materialize(nodes.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("main")).where("rows > 1"), "names")
+    if not again.head(1):
+        return nodes.withColumn("node", F.col("id")), False
+    low, high = nodes.agg(F.min("id"), F.max("id")).first()
+    turn = F.monotonically_increasing_id()
+    free = F.lit(high + 1) + turn if high < 1 << 62 else F.lit(low - 1) - turn
+    rest = nodes.join(again.select("id", "main"), "id").where("seq != main").select("seq", free.alias("free"))
+    rest = materialize(rest, "names")
+    return nodes.join(rest, "seq", "left").withColumn("node", F.coalesce("free", "id")).drop("free"), True
+
+
 def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n (size of the shingle set), component: a row for each row of ``docs``."""
-    docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    signed = materialize(docs.mapInArrow(_signed, "id long, n long, seq binary, sig binary"), "signatures")
-    nodes = signed.where("n > 0").groupBy("seq").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    rows = nodes.select("node", "n", "sig").mapInArrow(_trees, "part long, key binary, node long, n long")
-    ordered = rows.repartition(F.col("part")).sortWithinPartitions("part", "key", "node")
-    found = ordered.mapInArrow(_candidates, "a long, b long, kind int").groupBy("a", "b", (F.col("kind") == 2).alias("member")).agg(F.min("kind").alias("kind"))
+    """id, own (hash of the text), n (size of the shingle set), component and root (a number for each component): a row for each row of ``docs``."""
+    docs = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("own"), F.col(text).alias("text"))
+    signed = materialize(docs.mapInArrow(_signed, "id long, own long, n long, seq binary, sig binary"), "signatures")
+    alike = signed.where("n > 0 AND id IS NOT NULL").groupBy("seq").agg(F.min(F.struct("id", "own")).alias("one"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    nodes, renamed = _named(alike.select("seq", "one.id", "one.own", "n", "sig"))
+    large = large_regions(nodes)
+    rows = nodes.select("node", "n", "sig").mapInArrow(_trees(large), TREE)
+    ordered = rows.repartition(F.col("deal")).sortWithinPartitions("deal", "key", "node")
+    found = ordered.mapInArrow(_candidates, "a long, b long, kind int")
+    if large:
+        wide = materialize(nodes.select("node", "n", "sig").mapInArrow(_trees(large, only=True), TREE), "wide")
+        found = found.union(region_firsts(wide).withColumn("kind", F.lit(0))).union(wide.select("part", "node", F.lit(2)))
+    found = found.groupBy("a", "b", (F.col("kind") == 2).alias("member")).agg(F.min("kind").alias("kind"))
     found = materialize(found.select("a", "b", "kind"), "candidates")
     pairs = found.where("kind < 2")
     members = found.where("kind = 2").select(F.col("a").alias("part"), F.col("b").alias("node"))
-    wanted = pairs.select(F.col("a").alias("id")).union(found.select("b")).distinct()
-    # A repeated id may have several texts; the node's own is the one whose sequence it stands for.
-    sets = materialize(docs.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams")), "shingles")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.select("node")).distinct()
+    # The node's own text: an id may have several.
+    wanted = wanted.join(nodes.select("node", "id", "own"), "node")
+    sets = docs.join(wanted.hint("merge"), ["id", "own"]).select("node", "text").mapInArrow(_sets, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
+    sets = materialize(sets, "shingles")
     first = components(confirmed(pairs.where("kind = 0"), sets))
     root = lambda side: first.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     rest = pairs.where("kind = 1").join(root("a"), "a", "left").join(root("b"), "b", "left")
@@ -313,24 +387,38 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     more = rest_of_regions(members, final, sets)
     if more is not None and more.head(1):
         final = components(more.union(final.select("node", "root")))
-    whole = nodes.select("seq", "node").join(final, "node", "left").select("seq", F.coalesce("root", "node").alias("root"))
-    out = signed.select("id", "n", "seq").join(whole, "seq", "left")
-    return out.select("id", "n", F.coalesce("root", "id").alias("component"))
+    remove(found, sets)
+    whole = nodes.select("seq", "id", "node").join(final, "node", "left").select("seq", "id", F.coalesce("root", "node").alias("root"))
+    if renamed:  # the smallest name need not be the smallest id
+        whole = whole.join(whole.groupBy("root").agg(F.min("id").alias("component")), "root")
+    else:
+        whole = whole.withColumn("component", F.col("root"))
+    out = signed.select("id", "own", "n", F.when(F.col("id").isNotNull(), F.col("seq")).alias("seq")).join(whole.drop("id"), "seq", "left")
+    return out.select("id", "own", "n", F.coalesce("component", "id").alias("component"), "root")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` of which one stays for each component: the one of the smallest id. Rows with a null id stay."""
-    found = forest_components(docs.where(F.col(key).isNotNull()), key, text)
-    stay = materialize(found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    out = docs.join(stay.select(F.col("id").alias(key)), key, "left_semi")
-    if stay.where("rows > 1").head(1):  # repeated ids: equal texts of one id are copies as well
-        out = out.dropDuplicates([key, text])
-    return out.unionByName(docs.where(F.col(key).isNull())).select(*docs.columns)
+    """Rows of ``docs`` of which one stays for each component: the one of the smallest id. Rows with a null id or without words stay."""
+    names = docs.columns
+    held = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(names)})
+    id_, value = (F.col(f"c{names.index(c)}") for c in (key, text))
+    held = held.withColumns({"id": id_.cast("long"), "own": F.xxhash64(value)})
+    found = forest_components(docs.where(F.col(key).isNotNull()), key, text).where("id = component")
+    texts = found.where("n > 0").groupBy("root", "id", "own").agg(F.count(F.lit(1)).alias("rows")).groupBy("root").agg(F.min(F.struct("own", "id", "rows")).alias("one"))
+    stay = materialize(texts.select("one.id", "one.own", "one.rows").union(found.where("n = 0").select("id", "own", F.lit(1)).distinct()), "kept")
+    out = held.join(stay.select("id", "own"), ["id", "own"], "left_semi")
+    again = stay.where("rows > 1")
+    if again.head(1):  # rows with equal id and text are copies as well
+        again = again.select("id", "own")
+        one = out.join(again, ["id", "own"], "left_semi").dropDuplicates(["id", "own"])
+        out = out.join(again, ["id", "own"], "left_anti").unionByName(one)
+    out = out.unionByName(held.where(id_.isNull()))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = forest_components(base_documents(spark, sf_dir))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 #: DuckDB twin of op10_lsh_forest: exact set similarity through an inverted index.
