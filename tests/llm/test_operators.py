@@ -576,3 +576,106 @@ def test_very_large_regions_are_dealt_to_several_tasks(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     out = {r["id"]: r["component"] for r in neardup.forest_components(frame).collect()}
     assert out == {i: 0 if i < 1000 else i for i, _ in rows}
+
+
+# Rows that are alike, or have no id --------------------------------------------------------------------
+
+
+def test_ring_with_null_and_repeated_keys_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST_LARGE", 10)
+    rows = [(None, f"x{i}", 7, 1, 2, i) for i in range(300)] + [(i % 50, "same", 7, 1, 2, 0) for i in range(200)]
+    frame = spark.createDataFrame(rows, "id long, text string, shard int, cell int, rank int, slot long").repartition(4)
+    out = sharding.shard_rows(frame, "id", ties=("text",))
+    assert out.columns == ["id", "text", "cell", "rank", "shard", "slot", "home_shard"]
+    got = out.collect()
+    assert collections.Counter((r["id"], r["text"], r["cell"], r["rank"]) for r in got) == collections.Counter((r[0], r[1], 1, 2) for r in rows)
+    places = collections.defaultdict(list)
+    for r in got:
+        places[r["shard"]].append(r["slot"])
+    assert sorted(len(v) for v in places.values()) == [62] * 4 + [63] * 4 and all(sorted(v) == list(range(len(v))) for v in places.values())
+
+
+def test_few_rows_move_to_one_more_shard():
+    counts = {c: 3 for c in range(0, 1 << 12, 2)}
+    total = sum(counts.values())
+    owner = lambda n: {(c, k): s for c, lo, hi, _, s, _ in sharding.ring_plan(counts, n, bits=12) for k in range(lo, hi)}
+    before, after = owner(8), owner(9)
+    assert len(before) == len(after) == total
+    moved = sum(before[r] != s for r, s in after.items())
+    assert moved < 0.35 * total  # 1 / 9 must move; dealing by row number would move 8 / 9
+
+
+def test_measures_keep_the_columns_of_the_rows(spark):
+    text = "the cat of the house and a dog to the tree in it is with some words more"
+    rows = [(None, text, "en", -7, "mine"), (1, text, "en", -7, "mine"), (1, "short", "en", 1, "x"), (2, None, None, 1, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_words int, char_distance string")
+    out = quality_rules.kept(frame)
+    assert out.columns == frame.columns and sorted(map(tuple, out.collect()), key=str) == sorted(rows[:2], key=str)
+
+
+def test_contamination_with_null_and_repeated_ids(spark, docs):
+    from tests.llm.conftest import PASSAGE
+
+    rows = [(None, PASSAGE), (5, PASSAGE), (5, "clean words"), (None, "clean"), (6, None)]
+    frame = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, fp int, win string")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        got = collections.Counter((r["doc_id"], r["n_words"], r["contaminated"]) for r in decontaminate.decontaminate(frame, items, broadcast_bytes=limit).collect())
+        assert got == collections.Counter({(None, 20, True): 1, (5, 20, True): 1, (5, 2, False): 1, (None, 1, False): 1, (6, 0, False): 1})
+
+
+def test_models_and_packing_with_null_and_repeated_ids(spark):
+    rows = [(None, "a b c"), (None, "a b c"), (3, "x y"), (3, "z"), (4, None)]
+    frame = spark.createDataFrame([(*r, 1, "k", 0) for r in rows], "doc_id long, text string, length int, ids string, start int")
+    assert packing.packed(frame).agg(F.sum("length")).first()[0] == packing.pieces(frame).agg(F.sum("length")).first()[0]
+    assert quality_model.features(frame).count() == 5
+    ids = frame.select(F.col("doc_id").alias("id"), "text")
+    trie, table = ngram.build(ids, F.lit(True))
+    got = sorted((r["id"] or 0, r["n_tokens"]) for r in ngram.scored(table, trie).collect())
+    assert got == [(0, 4), (0, 4), (3, 2), (3, 3), (4, 1)] and trie.total == 14
+    labels = spark.createDataFrame([(3, 1), (4, 0), (None, 1)], "id long, toxic int")
+    assert toxicity.tagged(ids, toxicity.train(ids, labels, "toxic", 1000, 1000)).count() == 5
+
+
+def best_tree(g, h, depth):
+    """(gain, leaves) of the best tree, by trying all."""
+    own = g.sum() ** 2 / (h.sum() + 1)
+    found = (own, np.full(len(g), g.sum() / (h.sum() + 1)))
+    for at in range(1, len(g)) if depth else ():
+        parts = [(x.sum() ** 2 / (y.sum() + 1), x, y) for x, y in ((g[:at], h[:at]), (g[at:], h[at:]))]
+        if sum(p[0] for p in parts) > found[0] + 1e-9:
+            found = (sum(p[0] for p in parts), np.concatenate([best_tree(x, y, depth - 1)[1] for _, x, y in parts]))
+    return found
+
+
+def test_shallow_trees_against_all_splits():
+    rng = np.random.default_rng(14)
+    for _ in range(50):
+        g, h = rng.normal(size=9), rng.random(9)
+        assert np.allclose(quality_model._tree(g, h), best_tree(g, h, 2)[1])
+        g, h = rng.normal(size=(5, 4)), rng.random((5, 4))
+        best = (-1.0, None)
+        for i in range(1, 5):
+            for j in range(1, 4):
+                quads = [(slice(0, i), slice(0, j)), (slice(0, i), slice(j, 4)), (slice(i, 5), slice(0, j)), (slice(i, 5), slice(j, 4))]
+                gain = sum(g[q].sum() ** 2 / (h[q].sum() + 1) for q in quads)
+                if gain > best[0]:
+                    leaves = np.zeros_like(g)
+                    for q in quads:
+                        leaves[q] = g[q].sum() / (h[q].sum() + 1)
+                    best = (gain, leaves)
+        leaves, gain = quality_model._cross(g, h)
+        assert abs(gain - best[0]) < 1e-9 and np.allclose(leaves, best[1])
+
+
+def test_other_tokenizers_are_used_whole(tmp_path):
+    import json
+
+    rules = json.loads(open(packing.tokenizer_path()).read())
+    rules["normalizer"] = None
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(rules))
+    cased, plain = packing.WordEncoder(str(path)), packing.encoder(packing.tokenizer_path())
+    assert plain.plain and not cased.plain
+    text = "The Cat's HOUSE 12"
+    assert cased.encode(text) == cased.whole(text) != plain.encode(text) == plain.whole(text)

@@ -122,7 +122,9 @@ def find_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     # The first row of each document carries its number of words, so that one pass gives both it and the hits.
     base = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(key).alias("__key"), F.col(text).alias("__text"))
     base = base.select("__row", "__key", F.explode(let(item_words(F.col("__text")), found)).alias("r"))
-    base = base.select("__row", "__key", "r.*").join(hint(fingerprints), "fp", "left").where(F.col("known") | (F.col("at") < 0))
+    # Heads have no fingerprint, and rows without a window no window; values of their own keep them apart where joins shuffle.
+    base = base.select("__row", "__key", "r.*").withColumn("fp", F.coalesce("fp", F.xxhash64(F.lit("head"), "__row")))
+    base = base.join(hint(fingerprints), "fp", "left").where(F.col("known") | (F.col("at") < 0))
 
     def cut(size: int) -> Column:
         """Windows of ``size`` words that contain the hit."""
@@ -135,7 +137,7 @@ def find_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     short = F.concat(*[cut(n) for n in lengths]) if lengths else cut(window)
     spread = F.when(F.col("at") >= 0, F.when(F.col("short"), short).otherwise(cut(window)))
     base = base.select("__row", "__key", F.when(F.col("at") < 0, F.col("first")).alias("n"), F.explode_outer(spread).alias("w"))
-    base = base.select("__row", "__key", "n", "w.start", "w.size", "w.win")
+    base = base.select("__row", "__key", "n", "w.start", "w.size", F.coalesce("w.win", F.concat(F.lit("\0"), F.col("__row"))).alias("win"))  # no word has a NUL
     hits = base.join(hint(windows.withColumnRenamed("size", "__size")), "win", "left")
     seen = F.when(F.col("item").isNotNull(), F.struct("start", F.col("size").alias("words")))
     return hits.groupBy("__row").agg(F.first("__key").alias(key), F.max("n").cast("long").alias("n_words"), F.array_sort(F.collect_set(seen)).alias("starts"), F.array_sort(F.collect_set("item")).alias("items")).drop("__row")

@@ -37,6 +37,16 @@ CACHED_WORDS = 900_000
 RANK_GROUPS = 64
 
 
+#: The rules that ``WordEncoder`` follows (fixed values); with others, texts go to the whole tokenizer.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+
+
 class _Known(dict):
     """Ids by word; ``make`` gives those of a new one."""
 
@@ -64,6 +74,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        self.plain = {k: rules[k] for k in RULES} == RULES
         self.model = self.tokenizer.model
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -104,7 +116,7 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if self.odd(text):
+        if not self.plain or self.odd(text):
             return self.whole(text)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
@@ -255,5 +267,5 @@ def packed(docs: DataFrame, **options) -> DataFrame:
 
 
 def op3_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = packed(base_documents(spark, sf_dir))
-    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    parts = pieces(base_documents(spark, sf_dir)).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return pack(materialize(parts, "pieces"))  # ids themselves need not be moved

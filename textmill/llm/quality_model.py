@@ -176,7 +176,7 @@ def train(table: DataFrame, labels: DataFrame, label: str, fold: int, held_out:
     """Fit on at most ``max_rows`` labelled rows whose CRC32 of the id, mod ``fold``, is not ``held_out``."""
     known = labels.where(F.col(label).isNotNull() & (F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(fold)) != held_out))
     known = known.select("id", F.col(label).cast("double").alias("y")).orderBy(F.xxhash64("id"), "id", "y").limit(max_rows)  # bounded
-    rows = table.join(F.broadcast(known), "id").select("x", "y").limit(2 * max_rows).toPandas()
+    rows = table.join(F.broadcast(known), "id").select("x", "y").orderBy(F.xxhash64("x", "y"), "x", "y").limit(2 * max_rows).toPandas()  # repeated ids may bring more
     x = np.array(rows["x"].tolist(), np.float32).reshape(len(rows), len(FEATURES)).astype(float)
     return fit(x, rows["y"].to_numpy(float))
 

@@ -20,7 +20,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm.common import SPACE, let, words
+from textmill.llm.common import let, materialize, SPACE, words
 
 #: Common words of each language: function words, as any grammar lists them.
 COMMON = {
@@ -89,15 +89,19 @@ def duplicate_lines(text: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
-def histograms(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` with __chars and __common."""
+def measured(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with the histograms and counts of each text (``__chars``, ``__w``, ``__dups``); texts are read here only."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn("__chars", char_classes(body)).withColumn("__common", let(words(body), lambda w: common_counts(w, F.col(lang))))
+
+    def counts(w: Column) -> Column:
+        return F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words"), common_counts(w, F.col(lang)).alias("common"))
+
+    return docs.withColumns({"__chars": char_classes(body), "__w": let(words(body), counts), "__dups": duplicate_lines(body).cast("long")})
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row for each listed language, and one for all documents: lang, char_ref, word_ref (shares)."""
-    base = histograms(docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(lang).isin(list(COMMON)).alias("listed")))
+def references(measures: DataFrame, lang: str = "lang") -> DataFrame:
+    """One row for each listed language, and one for all documents: lang, char_ref, word_ref (shares), from the histograms of ``measured``."""
+    base = measures.select("__chars", F.col("__w.common").alias("__common"), F.col(lang).alias("lang"), F.col(lang).isin(list(COMMON)).alias("listed"))
     own = F.when(F.coalesce("listed", F.lit(False)), F.col("lang")).otherwise(F.lit(ALL))
     size = max(len(CLASSES), len(POOLED)) + 1
     sums = [F.sum(F.get("__chars", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES) + 1)] + [F.sum(F.get("__common", F.lit(i))).alias(f"w{i}") for i in range(size)]
@@ -120,7 +124,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
         for k in "cw":
             r[k] = [x / max(1, sum(r[k])) for x in r[k]]
     schema = "array<struct<lang:string,c:array<double>,w:array<double>>>"
-    return docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema))).toDF("__lang", "__char_ref", "__word_ref")
+    return measures.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema))).toDF("__lang", "__char_ref", "__word_ref")
 
 
 def distance(counts: Column, shares: Column) -> Column:
@@ -138,23 +142,16 @@ def distance(counts: Column, shares: Column) -> Column:
     return F.when(total > 0, let(total, of))
 
 
-def judged(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFrame | None = None) -> DataFrame:
-    """``docs`` with the base counts, both distances, base_failed and kept."""
-    refs = references(docs, text, lang) if refs is None else refs
-    body = F.coalesce(F.col(text), F.lit(""))
-
-    def counts(w: Column) -> Column:
-        return F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words"), common_counts(w, F.col(lang)).alias("common"))
-
-    out = docs.withColumn("__chars", char_classes(body)).withColumn("__w", let(words(body), counts))
+def verdicts(measures: DataFrame, refs: DataFrame, lang: str = "lang") -> DataFrame:
+    """``measures`` with the base counts, both distances, base_failed and kept."""
     sum_chars = F.aggregate("__chars", F.lit(0), lambda a, x: a + x)
     own = F.when(F.coalesce(F.col(lang).isin(list(COMMON)), F.lit(False)), F.col(lang)).otherwise(F.lit(ALL))
-    out = out.withColumn("__own", own).join(F.broadcast(refs), F.col("__own") == F.col("__lang"), "left")
+    out = measures.withColumn("__own", own).join(F.broadcast(refs), F.col("__own") == F.col("__lang"), "left")
     out = out.withColumns({
         "n_words": F.col("__w.n_words"),
         "word_chars": (sum_chars - F.get("__chars", F.lit(1))).cast("long"),
         "n_symbols": F.get("__chars", F.lit(SYMBOLS)).cast("long"),
-        "n_dup_lines": duplicate_lines(body).cast("long"),
+        "n_dup_lines": F.col("__dups"),
         "n_repeat_words": F.col("__w.n_repeat_words"),
         "char_distance": F.round(distance(F.col("__chars"), F.col("__char_ref")), 6),
         "word_distance": F.round(distance(F.col("__w.common"), F.col("__word_ref")), 6),
@@ -164,12 +161,27 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFr
     odd_words = (F.col("n_words") >= MIN_WORDS) & (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
     out = out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     out = out.withColumn("kept", ~F.col("base_failed") & ~odd_chars & ~odd_words)
-    return out.drop("__chars", "__w", "__own", "__lang", "__char_ref", "__word_ref", "__n_chars")
+    return out.drop("__chars", "__w", "__dups", "__own", "__lang", "__char_ref", "__word_ref", "__n_chars")
+
+
+def judged(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with the base counts, both distances, base_failed and kept, which take the place of columns of these names."""
+    measures = materialize(measured(docs, text, lang), "measures")
+    return verdicts(measures, references(measures, lang), lang)
+
+
+def kept(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that pass, with their own columns."""
+    names = docs.columns
+    own = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(names)})
+    out = judged(own, f"c{names.index(text)}", f"c{names.index(lang)}").where("kept")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    out = judged(docs)
+    measures = materialize(measured(docs).drop("text"), "measures")  # a few numbers for each document
+    out = verdicts(measures, references(measures))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
 
 

@@ -13,14 +13,16 @@ broadcast join with that plan. Capacities are exact: ``n // shards`` rows, and o
 ``n % shards`` shards. So counts are at most one apart (law ``rows``).
 
 Cases: an empty table gives no rows; a null key hashes as the empty string; rows with equal keys
-share a cell and are told apart by the given tie columns (fully equal rows are interchangeable);
-other columns are kept; ring columns are prefixed ``__ring_`` while at work.
+share a cell and are told apart by the given tie columns (fully equal rows are interchangeable); texts are not read, so their length does not matter;
+other columns are kept, whatever their names, but for ``shard``, ``slot`` and ``home_shard``, which the result takes.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import json
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ from textmill.llm.common import base_documents
 CELL_BITS = 16
 VNODES = 128
 SHARDS = 8
+#: A cell with more rows than this, and than this share of all, is ranked in so many parts.
+LEAST_LARGE, LARGE, RANKED = 10_000, 1e-3, 64
 
 
 def ring_nodes(shards: int, vnodes: int = VNODES, bits: int = CELL_BITS) -> list[tuple[int, int]]:
@@ -38,11 +42,14 @@ def ring_nodes(shards: int, vnodes: int = VNODES, bits: int = CELL_BITS) -> list
     return sorted((int(hashlib.md5(f"{s}#{r}".encode()).hexdigest()[:8], 16) >> (32 - bits), s) for s in range(shards) for r in range(vnodes))
 
 
-def _preferences(shards: int, vnodes: int, bits: int) -> tuple[list[int], list[list[int]]]:
-    """Virtual nodes' cells, and for each the distinct shards clockwise from it."""
-    nodes = ring_nodes(shards, vnodes, bits)
-    ring = [s for _, s in nodes]
-    return [c for c, _ in nodes], [list(dict.fromkeys(ring[i:] + ring[:i])) for i in range(len(ring))]
+def clockwise(ring: list[int], at: int) -> Iterator[int]:
+    """The distinct shards from place ``at`` of the ring on, each found only when it is asked for."""
+    seen: set[int] = set()
+    for i in range(at, at + len(ring)):
+        shard = ring[i % len(ring)]
+        if shard not in seen:
+            seen.add(shard)
+            yield shard
 
 
 def ring_plan(counts: dict[int, int], shards: int, vnodes: int = VNODES, bits: int = CELL_BITS) -> list[tuple[int, int, int, int, int, int]]:
@@ -50,23 +57,22 @@ def ring_plan(counts: dict[int, int], shards: int, vnodes: int = VNODES, bits: i
 
     Rows ``lo`` to ``hi - 1`` of the cell, in key order, go to ``shard``, which gives them slots from ``base``.
     """
-    import bisect
-
-    cells, pref = _preferences(shards, vnodes, bits)
+    nodes = ring_nodes(shards, vnodes, bits)
+    cells, ring = [c for c, _ in nodes], [s for _, s in nodes]
     total = sum(counts.values())
     room = [total // shards + (s < total % shards) for s in range(shards)]
-    order = sorted(counts)
-    node = {c: bisect.bisect_left(cells, c) % len(cells) for c in order}
-    done = dict.fromkeys(order, 0)
+    waiting = [(c, clockwise(ring, bisect.bisect_left(cells, c) % len(cells))) for c in sorted(counts)]
+    done, home = dict.fromkeys(counts, 0), {}
     parts: list[tuple[int, int, int, int, int]] = []
-    for d in range(shards):
-        for c in order:
-            left = counts[c] - done[c]
-            s = pref[node[c]][d]
-            if left and (take := min(left, room[s])):
-                parts.append((c, done[c], done[c] + take, pref[node[c]][0], s))
+    while waiting:  # only cells with rows left take another turn
+        for c, turns in waiting:
+            s = next(turns)
+            home.setdefault(c, s)
+            if take := min(counts[c] - done[c], room[s]):
+                parts.append((c, done[c], done[c] + take, home[c], s))
                 done[c] += take
                 room[s] -= take
+        waiting = [w for w in waiting if done[w[0]] < counts[w[0]]]
     used = [0] * shards
     plan = []
     for c, lo, hi, home, s in sorted(parts):
@@ -76,22 +82,36 @@ def ring_plan(counts: dict[int, int], shards: int, vnodes: int = VNODES, bits: i
 
 
 def shard_rows(df: DataFrame, key: str, shards: int = SHARDS, vnodes: int = VNODES, bits: int = CELL_BITS, ties: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` with shard, slot and home_shard (the owner if there were no bounds)."""
-    spark = df.sparkSession
-    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
-    placed = df.withColumn("__ring_key", digest).withColumn("__ring_cell", F.shiftright(F.conv(F.substring("__ring_key", 1, 8), 16, 10).cast("long"), 32 - bits).cast("int"))
+    """``df`` with shard, slot and home_shard (the owner if there were no bounds), which take the place of columns of these names."""
+    spark, names = df.sparkSession, df.columns
+    own = {c: f"c{i}" for i, c in enumerate(names)}
+    digest = F.md5(F.coalesce(F.col(own[key]).cast("string"), F.lit("")).cast("binary"))
+    placed = df.withColumnsRenamed(own).withColumn("key", digest)
+    placed = placed.withColumn("cell", F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits).cast("int"))
     # At most 2**bits rows reach the driver.
-    counts = {r[0]: r[1] for r in placed.groupBy("__ring_cell").count().collect()}
-    names = ("__ring_c", "lo", "hi", "home_shard", "shard", "base")
-    text = json.dumps([dict(zip(names, row, strict=True)) for row in ring_plan(counts, shards, vnodes, bits)])
-    schema = "array<struct<__ring_c:int,lo:long,hi:long,home_shard:int,shard:int,base:long>>"
-    plan = spark.range(1).select(F.inline(F.from_json(F.lit(text), schema)))
-    plan = plan.toDF("__ring_c", "__ring_lo", "__ring_hi", "home_shard", "shard", "__ring_base")
-    rank = F.row_number().over(Window.partitionBy("__ring_cell").orderBy("__ring_key", key, *ties)) - 1
-    placed = placed.withColumn("__ring_rank", rank.cast("long"))
-    inside = (F.col("__ring_cell") == F.col("__ring_c")) & (F.col("__ring_rank") >= F.col("__ring_lo")) & (F.col("__ring_rank") < F.col("__ring_hi"))
-    out = placed.join(F.broadcast(plan), inside).withColumn("slot", F.col("__ring_base") + F.col("__ring_rank") - F.col("__ring_lo"))
-    return out.drop(*(c for c in out.columns if c.startswith("__ring_")))
+    counts = {r[0]: r[1] for r in placed.groupBy("cell").count().collect()}
+    columns = ("cell", "lo", "hi", "home_shard", "shard", "base")
+    text = json.dumps([dict(zip(columns, row, strict=True)) for row in ring_plan(counts, shards, vnodes, bits)])
+    schema = "array<struct<cell:int,lo:long,hi:long,home_shard:int,shard:int,base:long>>"
+    plan = spark.range(1).select(F.inline(F.from_json(F.lit(text), schema))).withColumnRenamed("cell", "plan_cell")
+    # A cell with very many rows (a key that is null or repeated) is ranked in parts, by a hash of the ties; 1 / LARGE cells at most.
+    most = max(LEAST_LARGE, int(LARGE * sum(counts.values())))
+    large = [c for c, n in counts.items() if n > most]
+    tie = [own[t] for t in ties]
+    part = F.when(F.col("cell").isin(large), F.pmod(F.xxhash64(*tie), F.lit(RANKED))).otherwise(F.lit(0)) if large and tie else F.lit(0)
+    placed = placed.withColumn("part", part.cast("int"))
+    rank = F.row_number().over(Window.partitionBy("cell", "part").orderBy("key", own[key], *tie)) - 1
+    placed = placed.withColumn("rank", rank.cast("long"))
+    if large and tie:
+        sizes = placed.where(F.col("cell").isin(large)).groupBy("cell", "part").count()
+        before = F.sum("count").over(Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+        sizes = sizes.select(F.col("cell").alias("large_cell"), F.col("part").alias("large_part"), F.coalesce(before, F.lit(0)).alias("before"))
+        placed = placed.join(F.broadcast(sizes), (F.col("cell") == F.col("large_cell")) & (F.col("part") == F.col("large_part")), "left")  # RANKED / LARGE rows at most
+        placed = placed.withColumn("rank", F.col("rank") + F.coalesce("before", F.lit(0)))
+    inside = (F.col("cell") == F.col("plan_cell")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
+    out = placed.join(F.broadcast(plan), inside).withColumn("slot", F.col("base") + F.col("rank") - F.col("lo"))
+    kept = [F.col(own[c]).alias(c) for c in names if c not in ("shard", "slot", "home_shard")]
+    return out.select(*kept, "shard", "slot", "home_shard")
 
 
 def op2_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
