@@ -168,7 +168,8 @@ TREE = "deal long, key binary, node long, n long, part long"
 
 def region_firsts(rows: DataFrame) -> DataFrame:
     """Pairs (a, b) of each node of the very large regions and the first node of its region, from all their rows."""
-    first = rows.groupBy("part").agg(F.min(F.struct("key", "node", "n")).alias("first"))
+    # The smallest node, not the first by signature: it is mostly the same in all trees, so these pairs are found once.
+    first = rows.groupBy("part").agg(F.min(F.struct("node", "n")).alias("first"))
     pairs = rows.join(F.broadcast(first), "part").where(F.col("node") != F.col("first.node"))  # a row for each very large region
     fits = DENOMINATOR * F.least("n", "first.n") >= NUMERATOR * F.greatest("n", "first.n")
     return pairs.where(fits).select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
@@ -203,7 +204,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 firsts, recent, size = [before] * (DEPTH + 1), [before], 1
             me, d = (int(node[i]), int(n[i])), int(depth[i])
             tried = set()
-            main = (firsts[MIN_DEPTH], firsts[d])
+            main = (firsts[MIN_DEPTH], firsts[d]) if deal[i] == part[i] else ()  # region_firsts has those of a very large region
             for k, other in [(0, x) for x in main] + [(1, x) for x in firsts[MIN_DEPTH : d + 1]] + [(1, x) for x in recent]:
                 if other[0] != me[0] and other[0] not in tried and DENOMINATOR * min(me[1], other[1]) >= NUMERATOR * max(me[1], other[1]):
                     tried.add(other[0])
@@ -312,12 +313,14 @@ class _Index:
         self.mark[at[hit]] = False
 
 
-def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:
+def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame, large: dict[int, int]) -> DataFrame | None:
     """Links (a, b) between components of the regions in ``members`` (part, node), of which not all pairs were tried; None if there are none to try."""
     rooted = members.join(roots, "node", "left").select("part", "node", F.coalesce("root", "node").alias("root"))
     rooted = materialize(rooted, "regions")
     main = rooted.groupBy("part", "root").agg(F.count(F.lit(1)).alias("rows")).groupBy("part").agg(F.max_by("root", "rows").alias("main"), F.count(F.lit(1)).alias("roots"))
-    split = rooted.join(main.where("roots > 1"), "part").groupBy("node").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside"))
+    main = main.where("roots > 1")
+    wide = F.shiftright("part", 63 - PART_BITS).isin(list(large)) if large else F.lit(False)  # these meet their few rows by broadcast
+    split = rooted.where(~wide).join(main.where(~wide), "part").unionByName(rooted.where(wide).join(F.broadcast(main.where(wide)), "part")).groupBy("node").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside"))
     tried = materialize(split.join(sets, "node").where(F.length("grams") > 0), "split")
     outside = tried.where("outside")
     size = outside.agg(F.sum(F.length("grams") + 16)).first()[0]
@@ -384,7 +387,7 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rest = pairs.where("kind = 1").join(root("a"), "a", "left").join(root("b"), "b", "left")
     rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     final = components(confirmed(rest, sets).union(first.select("node", "root")))
-    more = rest_of_regions(members, final, sets)
+    more = rest_of_regions(members, final, sets, large)
     if more is not None and more.head(1):
         final = components(more.union(final.select("node", "root")))
     remove(found, sets)
