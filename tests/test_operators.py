@@ -297,3 +297,38 @@ def test_stream_equals_batch(spark, tmp_path):
     streams.run_once(stream, str(tmp_path / "cp2"), lambda df, n: counts.update({r["text"]: r["items"] for r in df.collect()}), "complete")
     assert counts == {"a": 2, "A": 1, "b": 1}
     assert one(spark, streams.rates(F.lit(10), F.lit(2e9), F.lit(3600))[0]) == 10
+
+
+# Hand-computed rows ------------------------------------------------------------------------------------
+
+
+def test_tape_windows_follow_the_length(spark):
+    """Tapes of a full length give floor((n - L) / S) + 1 windows; only a shorter one is padded."""
+    sizes = {5: 1, 1024: 1, 1500: 1, 2048: 2, 2500: 2}
+    frame = spark.createDataFrame([(n, list(range(1, n + 1))) for n in sizes], "n int, ids array<int>")
+    got = sequences.pack(frame, "ids", 1024, "pad").groupBy("n").count().collect()
+    assert {r["n"]: r["count"] for r in got} == sizes
+    half = sequences.pack(frame, "ids", 1024, "pad", 512).groupBy("n").count().collect()
+    assert {r["n"]: r["count"] for r in half} == {5: 1, 1024: 1, 1500: 1, 2048: 3, 2500: 3}
+    kept = sequences.pack(frame, "ids", 1024, "keep").groupBy("n").count().collect()
+    assert {r["n"]: r["count"] for r in kept} == {5: 1, 1024: 1, 1500: 2, 2048: 2, 2500: 3}
+
+
+def test_json_numbers_and_strings(spark, tmp_path):
+    from textmill.sources import readers
+
+    lines = ['{"id": "a", "score": "12.5"}', '{"id": "b", "score": null}', '{"id": "c", "score": " 12 "}', '{"id": "d", "score": 3.7}', '{"id": "e"}', '{"id": "f", "score": -3.7, "upvote_ratio": 0.25}', '{"id": "g", "score": 41, "created_utc": 1.5e9}']
+    (tmp_path / "x.jsonl").write_text("\n".join(lines))
+    got = {r["id"]: r for r in records.posts(readers.json_lines(spark, str(tmp_path), readers.POST)).collect()}
+    assert {k: (r["score"] if r["normalizable"] else None) for k, r in got.items()} == {"a": None, "b": None, "c": 12, "d": 3, "e": 0, "f": -3, "g": 41}
+    assert got["f"]["upvote_ratio"] == 0.25 and got["g"]["created_utc"] == 1_500_000_000
+
+
+def test_what_to_load_and_to_evaluate_on():
+    from textmill.operators import intake
+
+    there = {"d/processed/train.jsonl", "d/cleaned/cleaned_reddit_data.jsonl"}
+    assert intake.data_file(there.__contains__, "d") == ("d/processed/train.jsonl", "multi-source processed")
+    assert intake.data_file({"d/cleaned/cleaned_reddit_data.jsonl"}.__contains__, "d")[1] == "cleaned reddit"
+    assert intake.data_file(set().__contains__, "d") is None
+    assert [intake.evaluation_split(x) for x in (["train", "test", "validation"], ["train", "test"], ["train"])] == ["validation", "test", None]

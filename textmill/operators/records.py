@@ -43,7 +43,12 @@ def posts(raw: DataFrame) -> DataFrame:
 def _number(df: DataFrame, name: str, default, kind: str) -> Column:
     if name not in df.columns:
         return F.lit(default).cast(kind)
-    return F.col(name).try_cast(kind)
+    if dict(df.dtypes)[name] != "variant":
+        return F.col(name).try_cast(kind)
+    # A missing key has the default, a JSON null cannot be read; a JSON number is cut to whole, a JSON string must be a number of the kind as it stands.
+    said = F.try_variant_get(name, "$", "string")
+    value = F.when(F.schema_of_variant(name) == "STRING", said.try_cast(kind)).otherwise(said.try_cast("double").cast(kind))
+    return F.when(F.col(name).isNull(), F.lit(default).cast(kind)).otherwise(value)
 
 
 def unified(raw: DataFrame, unknown: bool = False) -> DataFrame:

@@ -53,11 +53,15 @@ def pad_to_longest(df: DataFrame, group: str, ids: str) -> DataFrame:
 
 
 def pack_starts(size: Column, length: int, tail: str, stride: int | None = None) -> Column:
-    """Starts of windows on a tape: ``pad`` keeps a short last one (at least one in all), ``drop`` only full ones."""
+    """Starts of windows on a tape.
+
+    ``pad``: full windows only, or one short window if there is none; ``keep``: a short last window as well; ``drop``: full windows only.
+    """
     step = stride or length
-    if tail == "pad":
+    if tail == "keep":
         return F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), F.lit(step))
-    return F.when(size >= length, F.sequence(F.lit(0), F.greatest(size - length, F.lit(0)), F.lit(step))).otherwise(F.array().cast("array<int>"))
+    full = F.sequence(F.lit(0), F.greatest(size - length, F.lit(0)), F.lit(step))
+    return full if tail == "pad" else F.when(size >= length, full).otherwise(F.array().cast("array<int>"))
 
 
 def pack(df: DataFrame, ids: str, length: int, tail: str = "pad", stride: int | None = None) -> DataFrame:

@@ -85,3 +85,51 @@ def pattern_consistency(labels: Column, predictions: Column, n: int = 3) -> Colu
     """Share of the distinct label n-grams that are among the prediction n-grams."""
     own = F.array_distinct(grams(labels, n))
     return F.when(F.size(own) > 0, F.size(F.array_intersect(own, grams(predictions, n))) / F.size(own)).otherwise(0.0)
+
+
+def used_pairs(df: DataFrame, order: str, prediction: str, label: str, block: int = 65_536) -> DataFrame:
+    """place (from 0, without gaps), p and l of the positions whose label counts, in order.
+
+    Places come from the sizes of blocks of ``order`` (a long), so that only one row for each block is ranked together.
+    """
+    from pyspark.sql.window import Window
+
+    rows = df.where(F.col(label) != IGNORED).select(F.floor(F.col(order) / block).alias("block"), F.col(order).alias("at"), F.col(prediction).alias("p"), F.col(label).alias("l"))
+    sizes = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("block", F.coalesce(before, F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("block").orderBy("at")) - 1
+    return rows.withColumn("own", place).join(sizes, "block").select((F.col("before") + F.col("own")).alias("place"), "p", "l")
+
+
+def pooled_grams(pairs: DataFrame, column: str, n: int) -> DataFrame:
+    """The n-grams of consecutive places: each value goes to the grams it is in, which are then put together."""
+    starts = pairs.select(F.explode(F.sequence(F.col("place") - (n - 1), F.col("place"))).alias("start"), "place", F.col(column).alias("v"))
+    grams_ = starts.where("start >= 0").groupBy("start").agg(F.array_sort(F.collect_list(F.struct("place", "v"))).alias("g"))
+    return grams_.where(F.size("g") == n).select(F.transform("g", lambda x: x["v"]).alias("g"))
+
+
+def task_metrics(pairs: DataFrame, task: str) -> DataFrame:
+    """One row of the task's measures, pooled over all places of ``pairs`` (as from ``used_pairs``); no places give accuracy 0 and nulls."""
+    n, same = F.count(F.lit(1)), F.count_if(F.col("p") == F.col("l"))
+    base = [F.round(F.coalesce(F.try_divide(same, n), F.lit(0.0)), 6).alias("accuracy"), F.countDistinct("p").alias("unique_tokens"), n.alias("total_tokens")]
+    if task == "instruct":
+        return pairs.agg(*base, F.round(n / F.greatest(F.countDistinct("l"), F.lit(1)), 6).alias("avg_response_length"), F.round(F.try_divide(same, n), 6).alias("adherence_score"))
+    if task == "chat":
+        found = pooled_grams(pairs, "p", 2).agg(F.count(F.lit(1)).alias("grams"), F.countDistinct("g").alias("distinct"))
+        rows = pairs.agg(*base, F.round(F.try_divide(F.countDistinct("p"), n), 6).alias("response_diversity")).crossJoin(F.broadcast(found))  # one row each
+        return rows.withColumn("bigram_diversity", F.round(F.col("distinct") / F.greatest("grams", F.lit(1)), 6)).drop("grams", "distinct")
+    if task == "code":
+        own, made = pooled_grams(pairs, "l", 3).distinct(), pooled_grams(pairs, "p", 3).distinct().withColumn("hit", F.lit(1))
+        found = own.join(made, "g", "left").agg(F.count(F.lit(1)).alias("own"), F.count("hit").alias("common"))
+        rows = pairs.agg(*base, F.round(F.try_divide(same, n), 6).alias("exact_match_rate")).crossJoin(F.broadcast(found))  # one row each
+        return rows.withColumn("pattern_consistency", F.round(F.coalesce(F.try_divide("common", "own"), F.lit(0.0)), 6)).drop("own", "common")
+    return pairs.agg(*base)
+
+
+def formatted(metrics: DataFrame, prefix: str = "") -> DataFrame:
+    """A row for each measure of a one-row table, by name: floats with four places."""
+    kinds = dict(metrics.dtypes)
+    line = lambda c: F.format_string(f"{prefix}{c}: %.4f", F.col(c)) if kinds[c] in ("double", "float") else F.format_string(f"{prefix}{c}: %s", F.col(c).cast("string"))
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), line(c).alias("line")) for c in sorted(metrics.columns)])
+    return metrics.select(F.inline(rows))

@@ -71,3 +71,18 @@ def low_rank_parameters(rank: Column, inputs: Column, outputs: Column) -> Column
 
 def ready(data_files: Column, scripts: Column, memory_gb: Column, disk_gb: Column) -> Column:
     return (data_files > 0) & (scripts > 0) & (memory_gb >= 4) & (disk_gb >= 20)
+
+
+def unified_estimates(gigabytes: Column, rows: Column) -> dict[str, Column]:
+    """Hours of extraction and processing and the cleaned size, by fixed rates: half an hour a GB, 50,000 rows an hour, 30 % left."""
+    extraction, processing = F.greatest(F.lit(1.0), gigabytes * 0.5), F.greatest(F.lit(2.0), rows / 50_000)
+    return {"extraction_hours": extraction, "processing_hours": processing, "total_hours": extraction + processing, "clean_gb": gigabytes * 0.3}
+
+
+def run_arithmetic(steps: Column, batch: int, accumulation: int, gpus: int, length: int, save_steps: int, corpus: int = 51_000_000_000, rate: float = 20.0) -> dict[str, Column]:
+    """Tokens, epochs, hours and checkpoints of a training run over a corpus of ``corpus`` tokens at ``rate`` steps a second."""
+    per_step = batch * accumulation * gpus * length
+    return {
+        "effective_batch": F.lit(batch * accumulation * gpus), "tokens_per_step": F.lit(per_step).cast("long"), "total_tokens": (steps * per_step).cast("long"),
+        "epochs": steps * per_step / F.lit(float(corpus)), "hours": steps / F.lit(rate) / 3600, "checkpoints": F.floor(steps / save_steps),
+    }

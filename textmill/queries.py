@@ -330,7 +330,7 @@ def pad_mask(spark, sf_dir):
 
 
 def _sql_pack(length: int, tail: str) -> str:
-    n = f"greatest(1, CAST(ceil(len(ids) / {length}.0) AS BIGINT))" if tail == "pad" else f"len(ids) // {length}"
+    n = {"pad": f"greatest(1, CAST(floor((len(ids) - {length}) / {length}.0) AS BIGINT) + 1)", "keep": f"greatest(1, CAST(ceil(len(ids) / {length}.0) AS BIGINT))", "drop": f"len(ids) // {length}"}[tail]
     return f"""WITH {SQL_IDS}, s AS (SELECT doc_id, ids, unnest(range(0, {n})) AS w FROM ids)
 SELECT doc_id, CAST(w AS INTEGER) AS "window", {length} AS length, CAST(coalesce(list_sum(ids[w * {length} + 1 : (w + 1) * {length}]), 0) AS BIGINT) AS id_sum FROM s"""
 
@@ -345,6 +345,11 @@ def pack_pad(spark, sf_dir):
     return _packed(spark, sf_dir, "pad")
 
 
+@query("pack_keep", _sql_pack(128, "keep"))
+def pack_keep(spark, sf_dir):
+    return _packed(spark, sf_dir, "keep")
+
+
 @query("pack_drop", _sql_pack(128, "drop"))
 def pack_drop(spark, sf_dir):
     return _packed(spark, sf_dir, "drop")
@@ -570,12 +575,12 @@ def _sql_training(gpus: int, batch: int, rate: float) -> str:
     e = batch * 4 * gpus
     return f"""SELECT {gpus} AS gpus, t AS tokens, {e} AS effective_batch_size, {e * 1024} AS tokens_per_step, CAST(k AS BIGINT) AS recommended_steps, CAST(greatest(100, floor(k / 15)) AS BIGINT) AS save_steps,
   CAST(greatest(10, floor(k / 100)) AS BIGINT) AS logging_steps, round(k / CAST({rate} AS DOUBLE) / 3600, 6) AS hours, round(k * {e * 1024} / t, 6) AS data_utilization
-FROM (SELECT t, floor(s / greatest(100, floor(s / 20))) * greatest(100, floor(s / 20)) AS k FROM (SELECT t, floor(floor(t / {e * 1024}) * 2.5) AS s FROM (SELECT n_chars * 1000000 AS t FROM documents WHERE doc_id < 50)))"""
+FROM (SELECT t, floor(s / greatest(100, floor(s / 20))) * greatest(100, floor(s / 20)) AS k FROM (SELECT t, floor(floor(t / {e * 1024}) * 2.5) AS s FROM (SELECT n_chars * 1000000 AS t FROM documents)))"""
 
 
 @query("training_recommendations", " UNION ALL ".join(_sql_training(g, b, r) for g, b, r in ((1, 4, 2.5), (2, 4, 5.0), (4, 6, 8.0), (8, 6, 16.0))))
 def training_recommendations(spark, sf_dir):
-    tokens = documents(spark, sf_dir).where("doc_id < 50").select((F.col("n_chars") * 1_000_000).alias("tokens"))  # made-up token totals to plan for
+    tokens = documents(spark, sf_dir).select((F.col("n_chars") * 1_000_000).alias("tokens"))  # made-up token totals to plan for
     out = None
     for gpus in (1, 2, 4, 8):
         part = tokens.select(F.lit(gpus).alias("gpus"), "tokens", *[c.alias(k) for k, c in planner.training(F.col("tokens"), gpus).items()])
@@ -692,3 +697,6 @@ def local_training_plan(spark, sf_dir):
     plan = planner.local_training(F.col("tokens"))
     plan["target_epochs"] = plan["target_epochs"].cast("double")
     return tokens.select("tokens", *[c.alias(k) for k, c in plan.items()])
+
+
+from textmill import intake_queries  # noqa: E402, F401  (adds its queries)

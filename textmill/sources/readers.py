@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 MESSAGES = "array<struct<role:string,content:string>>"
 SFT = f"messages {MESSAGES}, prompt string, response string, instruction string, input string, output string, completion string, code string, problem string, solution string, text string"
-POST = "id string, title string, selftext string, content string, text string, score string, upvote_ratio string, num_comments string, created_utc string, subreddit string, author string, url string, is_self string, over_18 string, spoiler string, locked string, archived string, removed_by_category string, source string"
+POST = "id string, title string, selftext string, content string, text string, score variant, upvote_ratio variant, num_comments variant, created_utc variant, subreddit string, author string, url string, is_self string, over_18 string, spoiler string, locked string, archived string, removed_by_category string, source string"
 ARTICLE = "title string, content string, summary string, url string, category string, timestamp string, cycle long, source string"
 WINDOW = "input_ids array<int>, attention_mask array<int>, sequence_length int"
 
