@@ -6,9 +6,10 @@ letters, numbers and underscore, and only a line feed ends a line.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WS = r"(?U)[\s\x1c-\x1f]"
@@ -62,6 +63,18 @@ def collapse(text: Column) -> Column:
     return F.regexp_replace(text, f"{WS}+", " ")
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once for each row, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns that later filters and projections read and never compute again (they come out of a generator)."""
+    made = F.struct(*[c.alias(k) for k, c in columns.items()])
+    rows = df.select(*[c for c in df.columns if c not in columns], F.explode(F.array(made)).alias("__made"))
+    return rows.select(*[c for c in df.columns if c not in columns], *[F.col(f"__made.{k}").alias(k) for k in columns])
+
+
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{WS}+"), "")
 
@@ -77,10 +90,9 @@ def clean_post(text: Column) -> Column:
 
 def clean_dump(text: Column) -> Column:
     """The large-dump cleaner; null when the text is gone or shorter than 20 characters before or after."""
-    flat = strip(collapse(text))
-    done = strip(reduce(lambda t, rule: F.regexp_replace(t, *rule), DUMP_RULES, flat))
-    keep = text.isNotNull() & ~text.isin("", *GONE) & (F.length(flat) >= 20) & (F.length(done) >= 20)
-    return F.when(keep, done)
+    done = lambda flat: F.when(F.length(flat) >= 20, strip(reduce(lambda t, rule: F.regexp_replace(t, *rule), DUMP_RULES, flat)))
+    long = lambda x: F.when(F.length(x) >= 20, x)
+    return F.when(text.isNotNull() & ~text.isin("", *GONE), bind(bind(strip(collapse(text)), done), long))
 
 
 def key_post(title: Column, body: Column) -> Column:
@@ -111,7 +123,7 @@ def most_frequent(found: Column) -> Column:
         return F.struct(w.alias("w"), run.alias("run"), F.greatest(a["top"], run).alias("top"))
 
     first = F.struct(F.lit("").alias("w"), F.lit(0).alias("run"), F.lit(0).alias("top"))
-    return F.aggregate(F.array_sort(found), first, step, lambda a: a["top"])
+    return F.aggregate(F.sort_array(found), first, step, lambda a: a["top"])
 
 
 def tiers(value: Column, table: list[tuple[int, int]]) -> Column:

@@ -13,31 +13,35 @@ KEPT = "high_quality"
 
 def quality_reason(title: Column, body: Column, total_words: Column, body_words: Column, score: Column, over_18: Column, is_self: Column) -> Column:
     """The first rule that a post breaks, or ``high_quality``."""
-    content = F.lower(F.concat(title, F.lit(" "), body))
-    found = T.words(content)
     gone = ((body == "") | F.lower(body).isin(*T.GONE)) & ((title == "") | (F.length(title) < 10))
-    repetitive = (F.size(found) > 10) & (10 * T.most_frequent(found) > 3 * F.size(found))
-    return (
-        F.when(gone, "deleted_or_removed").when(over_18, "nsfw").when(total_words < 5, "too_short").when(total_words > 10000, "too_long")
-        .when(T.is_spam(content), "spam_pattern").when(repetitive, "repetitive").when(score < -10, "heavily_downvoted")
-        .when(~is_self & (body_words < 20), "link_post_short_text").otherwise(KEPT)
-    )
+
+    def by_content(content: Column) -> Column:
+        repetitive = T.bind(T.words(content), lambda found: (F.size(found) > 10) & (10 * T.most_frequent(found) > 3 * F.size(found)))
+        return (
+            F.when(T.is_spam(content), "spam_pattern").when(repetitive, "repetitive").when(score < -10, "heavily_downvoted")
+            .when(~is_self & (body_words < 20), "link_post_short_text").otherwise(KEPT)
+        )
+
+    # The rules that read words come last, and read them once.
+    plain = F.when(gone, "deleted_or_removed").when(over_18, "nsfw").when(total_words < 5, "too_short").when(total_words > 10000, "too_long")
+    return plain.otherwise(T.bind(F.lower(F.concat(title, F.lit(" "), body)), by_content))
 
 
 def first_wins(df: DataFrame, key: Column, order: str) -> DataFrame:
     """Rows that come first, by the unique column ``order``, of those with an equal key; rows with a null key are dropped.
 
-    Only keys and order values are grouped, with partial aggregation, so that a key which holds a large part of all
-    rows does not meet in one task; the rows themselves move once, in a semi-join.
+    Rows are read once. Each task first keeps its own first row of a key, so a key which holds a large part of all
+    rows sends one row from each task and never meets in one.
     """
-    firsts = df.select(key.alias("__key"), F.col(order)).where(F.col("__key").isNotNull()).groupBy("__key").agg(F.min(order).alias(order))
-    return df.join(firsts.select(order), order, "left_semi")
+    row = F.struct(*df.columns)
+    firsts = df.where(key.isNotNull()).groupBy(key.alias("__key")).agg(F.min_by(row, order).alias("__row"))
+    return firsts.select("__row.*")
 
 
 def split(df: DataFrame, key: str, stratum: Column | None = None, seed: int = 42, train: float = 0.7, validation: float = 0.15, least: int = 10) -> DataFrame:
     """``df`` with ``split``: exact shares in each stratum of at least ``least`` rows and in the rest together.
 
-    Ranks are by a hash of key and seed, within 64 hash groups of a stratum whose sizes are summed first, so that no
+    Ranks are by a hash of key and seed, within 256 hash groups of a stratum whose sizes are summed first, so that no
     stratum is sorted in one task.
     """
     base = df.withColumn("__hash", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")).cast("binary")))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions import text as T
+
 IGNORED = -100
 
 
@@ -75,10 +77,9 @@ def repetition_rate(df: DataFrame, found: str, n: int = 3) -> DataFrame:
 
 def simple_bleu(generated: Column, reference: Column, n: int) -> Column:
     """Unclipped precision of n-grams times a brevity factor; 0 when either side is shorter than n."""
-    own = grams(generated, n)
-    hits = F.size(F.filter(own, lambda g: F.array_contains(grams(reference, n), g)))
+    hits = lambda own: T.bind(grams(reference, n), lambda other: F.size(F.filter(own, lambda g: F.array_contains(other, g))) / F.size(own))
     both = (F.size(generated) >= n) & (F.size(reference) >= n)
-    return F.when(both, hits / F.size(own) * F.least(F.lit(1.0), F.size(generated) / F.size(reference))).otherwise(0.0)
+    return F.when(both, T.bind(grams(generated, n), hits) * F.least(F.lit(1.0), F.size(generated) / F.size(reference))).otherwise(0.0)
 
 
 def pattern_consistency(labels: Column, predictions: Column, n: int = 3) -> Column:

@@ -26,16 +26,15 @@ def clean_posts(posts: DataFrame, order: str = "doc_id") -> DataFrame:
     ``word_count`` is that of the raw body; ``total_word_count`` is counted after cleaning.
     """
     unique = cleaning.first_wins(posts, T.key_post(F.col("title"), F.col("selftext")), order)
-    out = unique.withColumn("word_count", T.word_count(F.col("selftext")))
-    out = out.withColumns({"title": T.clean_post(F.col("title")), "selftext": T.clean_post(F.col("selftext"))})
-    out = out.withColumn("total_word_count", T.word_count(F.col("selftext")) + T.word_count(F.col("title")))
+    out = T.once(unique, title=T.clean_post(F.col("title")), selftext=T.clean_post(F.col("selftext")), word_count=T.word_count(F.col("selftext")))
+    out = T.once(out, total_word_count=T.word_count(F.col("selftext")) + T.word_count(F.col("title")))
     reason = cleaning.quality_reason(*(F.col(c) for c in ("title", "selftext", "total_word_count", "word_count", "score", "over_18", "is_self")))
-    return out.withColumn("quality_reason", reason)
+    return T.once(out, quality_reason=reason)
 
 
 def clean_dumps(rows: DataFrame, text: str, score: str, order: str, web: bool = False) -> DataFrame:
     """Texts are cleaned, then duplicates of the cleaned text go, then low scores."""
-    out = rows.withColumn("text_clean", T.clean_dump(F.col(text))).where(F.col("text_clean").isNotNull())
+    out = T.once(rows, text_clean=T.clean_dump(F.col(text))).where(F.col("text_clean").isNotNull())
     out = cleaning.first_wins(out, T.key_dump(F.col("text_clean")), order)
     return out if web else out.where(F.col(score) >= 1)
 
