@@ -14,7 +14,7 @@ Of a region of more nodes than a node's neighbours, not all pairs have been trie
 components, the nodes outside its main one are compared with all nodes of such regions by an exact prefix-filtered
 search: they are broadcast, part by part, and the others pass by in a map, so no region is gathered in one task and only links are returned.
 
-A very large region (more rows than ``LEAST_LARGE`` and than rows / ``PARTS``) is dealt to several tasks by a hash of the node. Its nodes meet their neighbours
+A very large region (more rows than ``LEAST_LARGE``, which one task sorts in a few MB, and than rows / ``PARTS``) is dealt to several tasks by a hash of the node. Its nodes meet their neighbours
 there and the first node of the whole region, by a broadcast of at most about ``PARTS`` rows; the exact search covers the rest.
 
 At similarity 0.75, a pair shares a tree's first three values with probability 0.42, and none of 24 with two in a million; that is the chance that a pair is missed by
@@ -49,7 +49,7 @@ SEARCH_BYTES = 32 << 20
 
 #: Bits of a region's hash by which rows are counted, and what makes a region very large.
 PART_BITS = 20
-LEAST_LARGE, PARTS = 128, 20_000
+LEAST_LARGE, PARTS = 100_000, 20_000
 
 _RNG = np.random.default_rng(20240601)
 _MULTIPLY = _RNG.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
@@ -204,11 +204,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 firsts, recent, size = [before] * (DEPTH + 1), [before], 1
             me, d = (int(node[i]), int(n[i])), int(depth[i])
             tried = set()
-            if deal[i] == part[i]:
-                near = [(0, firsts[MIN_DEPTH]), (0, firsts[d])] + [(1, x) for x in firsts[MIN_DEPTH : d + 1]] + [(1, x) for x in recent]
-            else:  # of a very large region, which is searched exactly if it is not one component yet
-                near = [(1, x) for x in recent[-2:]]
-            for k, other in near:
+            main = (firsts[MIN_DEPTH], firsts[d]) if deal[i] == part[i] else ()  # region_firsts has those of a very large region
+            for k, other in [(0, x) for x in main] + [(1, x) for x in firsts[MIN_DEPTH : d + 1]] + [(1, x) for x in recent]:
                 if other[0] != me[0] and other[0] not in tried and DENOMINATOR * min(me[1], other[1]) >= NUMERATOR * max(me[1], other[1]):
                     tried.add(other[0])
                     a.append(min(me[0], other[0]))
