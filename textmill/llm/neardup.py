@@ -366,7 +366,7 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     signed = materialize(docs.mapInArrow(_signed, "id long, own long, n long, seq binary, sig binary"), "signatures")
     alike = signed.where("n > 0 AND id IS NOT NULL").groupBy("seq").agg(F.min(F.struct("id", "own")).alias("one"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     nodes, renamed = _named(alike.select("seq", "one.id", "one.own", "n", "sig"))
-    large = large_regions(nodes)
+    large = large_regions(signed.where("n > 0 AND id IS NOT NULL"))  # copies count as well; no shuffle of signatures
     rows = nodes.select("node", "n", "sig").mapInArrow(_trees(large), TREE)
     ordered = rows.repartition(F.col("deal")).sortWithinPartitions("deal", "key", "node")
     found = ordered.mapInArrow(_candidates, "a long, b long, kind int")
