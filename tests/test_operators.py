@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import bpe
 from textmill.functions import text as T
-from textmill.operators import cleaning, progress, records, sequences, tuning
+from textmill.operators import artifacts, cleaning, progress, records, sequences, tuning
 from textmill.plans import pipelines, planner
 from textmill.sources import readers, writers
 from textmill.streaming import streams
@@ -332,3 +332,51 @@ def test_what_to_load_and_to_evaluate_on():
     assert intake.data_file({"d/cleaned/cleaned_reddit_data.jsonl"}.__contains__, "d")[1] == "cleaned reddit"
     assert intake.data_file(set().__contains__, "d") is None
     assert [intake.evaluation_split(x) for x in (["train", "test", "validation"], ["train", "test"], ["train"])] == ["validation", "test", None]
+
+
+def test_encoding_equals_the_public_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    odd = ["  two  spaces\n\nand lines\t", "Café ñandú 東京 🙂 x²", "it's I'LL 1234 ---", "\u00a0\u2003wide"]
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").union(spark.createDataFrame([(x,) for x in odd], "text string"))
+    merges = bpe.train(df, "text", 3_000)
+    assert len(merges) == 3_000 - 256 - len(bpe.SPECIAL)
+    artifacts.write_tokenizer(spark, merges, str(tmp_path / "tokenizer"))
+    theirs = Tokenizer.from_file(str(tmp_path / "tokenizer/tokenizer.json"))
+    rows = bpe.encode(df, "text", merges, ["text"]).where("text IS NOT NULL").collect()
+    assert len(rows) > 100
+    for r in rows:
+        assert r["input_ids"] == theirs.encode(r["text"]).ids
+    assert len((tmp_path / "tokenizer/merges.txt").read_text().splitlines()) == len(merges) + 1
+    vocab = json.loads((tmp_path / "tokenizer/vocab.json").read_text())
+    assert vocab == theirs.get_vocab()
+
+
+def test_encoded_windows(spark):
+    texts = [("a", "word " * 40), ("short", "  tiny   "), ("null", None), ("b", "exactly ten")]
+    df = spark.createDataFrame(texts, "id string, text string")
+    rows = artifacts.encoded_windows(df, "text", [], ["id"], 64, 32).orderBy("id", "window").collect()
+    assert [(r["id"], r["window"], r["start"]) for r in rows if r["id"] == "a"] == [("a", i, 32 * i) for i in range(6)]  # 200 bytes
+    assert {r["id"] for r in rows} == {"a", "b"}
+    assert b"".join(bytes(i - len(bpe.SPECIAL) for i in r["input_ids"][: 32 if r["window"] < 5 else 64]) for r in rows if r["id"] == "a").decode() == "word " * 40
+
+
+def test_repaired_ids_and_variety(spark):
+    df = spark.createDataFrame([([0, 5, -1, 9, 10],), ([],), (None,)], "ids array<int>")
+    assert [r[0] for r in df.select(artifacts.repaired(F.col("ids"), 10, 3)).collect()] == [[0, 5, 3, 9, 3], [], None]
+    assert artifacts.token_variety(df, "ids").first()[:] == (5, 5, 1.0)
+    assert artifacts.token_variety(df.where("ids IS NULL"), "ids").first()[:] == (0, 0, 0.0)
+
+
+def test_names_and_checkpoint_state(spark, tmp_path):
+    artifacts.write_names(spark.createDataFrame([("b.npz",), ("a.npz",)], "name string"), "name", str(tmp_path / "names"))
+    assert sorted(r["name"] for r in artifacts.read_names(spark, str(tmp_path / "names")).collect()) == ["a.npz", "b.npz"]
+    (tmp_path / "metadata.json").write_text('{\n "step": 7\n}')
+    state = artifacts.checkpoint_state(spark, str(tmp_path))
+    assert state["metadata"].first()["step"] == 7 and state["config"] is None and state["metrics"] is None
+
+
+def test_prepared_code_skips_what_has_no_code(spark):
+    df = spark.createDataFrame([("p", "c", None, None, None), (None, None, "q", "s", "x"), ("p", None, None, None, "x"), (None, None, None, None, None)], "a string, b string, c string, d string, e string")
+    got = [r[0] for r in df.select(tuning.code_prepared(*[F.col(x) for x in "abcde"])).collect()]
+    assert got == ["# Task: p\n\nc", "# Problem:\nq\n\n# Solution:\ns", "x", None]

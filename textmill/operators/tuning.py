@@ -36,6 +36,13 @@ def code(prompt: Column, completion: Column, source: Column, text: Column) -> Co
     return F.coalesce(pair, source, text, F.lit(""))
 
 
+def code_prepared(prompt: Column, completion: Column, problem: Column, solution: Column, source: Column) -> Column:
+    """As ``code`` with problems and their solutions, and without plain text; null where an example has none of these (it is skipped)."""
+    task = F.concat(F.lit("# Task: "), prompt, F.lit("\n\n"), completion)
+    solved = F.concat(F.lit("# Problem:\n"), problem, F.lit("\n\n# Solution:\n"), solution)
+    return F.coalesce(task, solved, source)
+
+
 def custom(text: Column, prompt: Column, completion: Column, given: Column, output: Column, rest: list[Column]) -> Column:
     pair = lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.concat(a, F.lit("\n"), b))
     return F.coalesce(text, pair(prompt, completion), pair(given, output), F.concat_ws("\n", *rest))
