@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
@@ -14,6 +16,12 @@ ROWS = [
     (14, "<|endoftext|> Don't STOP 12³ 日本語 текст \x1c x", "en"), (15, "x" * 5000, "en"),
 ]
 
+_POINTS = random.Random(7)
+#: Three heaps of vectors, repeated ones, a null id, and vectors that do not count.
+VECTORS = [(i, [_POINTS.gauss(i % 3, 0.4) for _ in range(64)], 0, 5, "x") for i in range(200)]
+VECTORS += [(200 + i, VECTORS[7][1], 0, 5, "x") for i in range(30)] + [(3, VECTORS[3][1], 0, 5, "x"), (None, [0.5] * 64, 0, 5, "x"), (900, [1e30] * 64, 0, 5, "x")]
+VECTORS += [(901, None, 0, 5, "x"), (902, [], 0, 5, "x"), (903, [1.0] * 63, 0, 5, "x"), (904, [1.0] * 63 + [float("nan")], 0, 5, "x"), (905, [1.0] * 63 + [float("inf")], 0, 5, "x"), (906, [1.0] * 63 + [None], 0, 5, "x")]
+
 
 @pytest.fixture(scope="session")
 def docs(spark):
@@ -34,4 +42,5 @@ def folder(spark, docs, tmp_path_factory):
     spark.createDataFrame([(1, PASSAGE), (2, PASSAGE + " more words"), (3, "onlythree short words"), (4, None)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     labels = [(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(20)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>, label int, cluster int, q string").repartition(3).write.parquet(f"{path}/embeddings.parquet")
     return str(path)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +67,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def uncollected(rows: Iterator) -> Iterator:
+    """``rows``, while the worker's cycle collector rests: it would go through all that a worker keeps again and again, and finds nothing where no cycles are made."""
+    gc.disable()
+    try:
+        yield from rows
+    finally:
+        gc.enable()
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; null gives null."""
     return F.filter(F.split(text, SPACE), lambda w: w != "")

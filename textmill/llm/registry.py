@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textmill.llm import decontaminate, neardup, ngram, packing, quality_model, quality_rules, secrets, sharding, substring_dedup, toxicity
+from textmill.llm import alignment, ball_kmeans, decontaminate, neardup, ngram, packing, prefix_counts, quality_model, quality_rules, secrets, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op4_column_suffixes": substring_dedup.op4_column_suffixes,
@@ -15,6 +15,9 @@ QUERIES = {
     "op6_winnowing": decontaminate.op6_winnowing,
     "op3_minimum_bin_slack": packing.op3_minimum_bin_slack,
     "op2_bounded_ring": sharding.op2_bounded_ring,
+    "op11_dangling_suffix": alignment.op11_dangling_suffix,
+    "op12_ball_kmeans": ball_kmeans.op12_ball_kmeans,
+    "op13_prefix_counts": prefix_counts.op13_prefix_counts,
 }
 
 ORACLES: dict[str, str] = {
