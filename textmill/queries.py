@@ -699,4 +699,4 @@ def local_training_plan(spark, sf_dir):
     return tokens.select("tokens", *[c.alias(k) for k, c in plan.items()])
 
 
-from textmill import intake_queries, report_queries  # noqa: E402, F401  (add their queries)
+from textmill import intake_queries, report_queries, training_queries  # noqa: E402, F401  (add their queries)
