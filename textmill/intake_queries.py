@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textmill.functions import text as T
-from textmill.operators import intake, tuning
+from textmill.operators import intake, reports, series, tuning
 from textmill.plans import pipelines, planner
 from textmill.queries import SQL_CLEANED, SQL_ITEMS, SQL_KEPT_ITEMS, SQL_POSTS, documents, query, sql_strip, sql_words, table
 
@@ -33,11 +33,12 @@ def web_records(spark, sf_dir):
     return intake.web_records(documents(spark, sf_dir), "doc_id", "openwebtext")
 
 
-@query("chunk_records", f"""WITH {SQL_RAW}, f AS (SELECT *, line % 4 = 0 AS web FROM raw)
+@query("chunk_records", f"""WITH {SQL_RAW}, f AS (SELECT *, line % 4 = 0 AND line % 8 > 0 AS web FROM raw)
 SELECT line, CASE WHEN web THEN 'openwebtext' ELSE subreddit END AS subreddit, CASE WHEN web THEN coalesce(id, 'hf_' || line) ELSE coalesce(id, '') END AS id, CASE WHEN web THEN '' ELSE coalesce(title, '') END AS title,
   length(text) AS length, CASE WHEN web THEN 1 ELSE 0 END AS score, CASE WHEN web THEN 'openwebtext' ELSE '[deleted]' END AS author, CASE WHEN web THEN 'article' ELSE 'unknown' END AS type FROM f""")
 def chunk_records(spark, sf_dir):
-    name = F.concat(F.when(F.col("line") % 4 == 0, "HuggingFace_").otherwise("reddit_"), F.col("line"), F.lit(".jsonl"))
+    """A name in another spelling is no web file's."""
+    name = F.concat(F.when(F.col("line") % 8 == 0, "HuggingFace_").when(F.col("line") % 4 == 0, "huggingface_").otherwise("reddit_"), F.col("line"), F.lit(".jsonl"))
     raw = _raw(spark, sf_dir)
     # The line is carried through the id's place, which every record has.
     out = intake.chunk_records(raw.withColumn("text", F.concat(F.col("line"), F.lit("\0"), F.col("text"))), name, "line")
@@ -138,10 +139,12 @@ def first_ten_names(spark, sf_dir):
     return _files(spark, sf_dir).select("name", "size").orderBy("name").limit(10)
 
 
-@query("emergency_resume", f"WITH {SQL_FILES} SELECT name FROM files WHERE name > 'cleaned_z' AND doc_id % 7 > 0")
+@query("emergency_resume", f"WITH {SQL_FILES}, last AS (SELECT name FROM files WHERE doc_id = 31) SELECT name FROM files WHERE name > (SELECT name FROM last) AND doc_id % 7 > 0 UNION ALL SELECT name FROM files WHERE name > 'cleaned_z' AND 'cleaned_z' IN (SELECT name FROM files)")
 def emergency_resume(spark, sf_dir):
+    """After a file that is there, and after one that is not, which gives none."""
     files = _files(spark, sf_dir)
-    return intake.resume_after(files, "cleaned_z", files.where("doc_id % 7 = 0")).select("name")
+    last = files.where("doc_id = 31").select("name").first()["name"]
+    return intake.resume_after(files, last, files.where("doc_id % 7 = 0")).select("name").unionAll(intake.resume_after(files, "cleaned_z", files.where("false")).select("name"))
 
 
 @query("split_line_counts", "SELECT source, CAST(sum(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) AS BIGINT) AS lines FROM documents GROUP BY source")
@@ -150,11 +153,14 @@ def split_line_counts(spark, sf_dir):
     return documents(spark, sf_dir).groupBy("source").agg(F.sum(lines).alias("lines"))
 
 
-@query("collection_info", "WITH n AS (SELECT source || CASE WHEN doc_id % 3 = 0 THEN '_comments' ELSE '_submissions' END AS name FROM documents) SELECT count(DISTINCT name) FILTER (name LIKE '%_comments') AS comment_files, count(DISTINCT name) FILTER (name LIKE '%_submissions') AS submission_files, count(DISTINCT regexp_replace(name, '_(comments|submissions)$', '')) AS subreddits FROM n")
+SQL_DUMP_NAMES = "n AS (SELECT DISTINCT CASE doc_id % 4 WHEN 0 THEN 'cleaned_' WHEN 1 THEN 'tokenized_cleaned_' WHEN 2 THEN 'comments' ELSE 'x_y_' END || source || CASE WHEN doc_id % 3 = 0 THEN '_comments.npz' ELSE '_submissions_part001.npz' END AS name FROM documents)"
+
+
+@query("collection_info", f"WITH {SQL_DUMP_NAMES} SELECT count(*) AS files, count(*) FILTER (contains(name, 'comments')) AS comment_files, count(*) FILTER (contains(name, 'submissions')) AS submission_files, count(DISTINCT string_split(name, '_')[3]) FILTER (len(string_split(name, '_')) >= 3) AS subreddits FROM n")
 def collection_info(spark, sf_dir):
-    rows = documents(spark, sf_dir).select(F.concat("source", F.when(F.col("doc_id") % 3 == 0, "_comments").otherwise("_submissions")).alias("name")).distinct()
-    of = lambda end: F.count_if(F.col("name").endswith(end))
-    return rows.agg(of("_comments").alias("comment_files"), of("_submissions").alias("submission_files"), F.countDistinct(F.regexp_replace("name", "_(comments|submissions)$", "")).alias("subreddits"))
+    start = F.when(F.col("doc_id") % 4 == 0, "cleaned_").when(F.col("doc_id") % 4 == 1, "tokenized_cleaned_").when(F.col("doc_id") % 4 == 2, "comments").otherwise("x_y_")
+    name = F.concat(start, "source", F.when(F.col("doc_id") % 3 == 0, "_comments.npz").otherwise("_submissions_part001.npz"))
+    return reports.collection_info(documents(spark, sf_dir).select(name.alias("name")).distinct())
 
 
 @query("cleaning_report", f"WITH {SQL_CLEANED}, c AS (SELECT (SELECT count(*) FROM posts) AS processed, (SELECT count(*) FROM reasons WHERE quality_reason = 'high_quality') AS kept, (SELECT sum(length(selftext)) FROM reasons WHERE quality_reason = 'high_quality') AS size) SELECT processed, kept, round(100.0 * kept / processed, 6) AS kept_percent, round(processed / 3600.0, 6) AS posts_per_second, round(size / 1073741824.0, 9) AS output_gb, CAST(kept AS DOUBLE) AS kept_per_hour FROM c")
@@ -211,19 +217,16 @@ def event_dates(spark, sf_dir):
 @query("steps_since_best", "WITH b AS (SELECT *, min(value) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS best FROM events), f AS (SELECT *, max(CASE WHEN value = best THEN event_id END) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS reached FROM b) SELECT event_id, event_id - reached AS since_best FROM f")
 def steps_since_best(spark, sf_dir):
     """Steps since the best value was last reached."""
-    w = Window.partitionBy("event_type").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = table(spark, sf_dir, "events").withColumn("best", F.min("value").over(w))
-    at = F.max(F.when(F.col("value") == F.col("best"), F.col("event_id"))).over(w)
-    return rows.select("event_id", (F.col("event_id") - at).alias("since_best"))
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    return series.since_best(rows, ["event_type"], ["event_id"], "value", "event_id").select("event_id", "since_best")
 
 
 @query("step_speed", "WITH r AS (SELECT event_id, row_number() OVER w AS n, avg(abs(value) + 1) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS t FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id)) SELECT event_id, CASE WHEN n > 10 THEN round(32 / t, 6) END AS samples_per_second FROM r")
 def step_speed(spark, sf_dir):
     """Samples a second from the mean time of the last ten steps, from the eleventh step on; batches of 32."""
-    w = Window.partitionBy("event_type").orderBy("event_id")
-    mean = F.avg(F.abs("value") + 1).over(w.rowsBetween(-9, 0))
-    rows = table(spark, sf_dir, "events").withColumns({"n": F.row_number().over(w), "t": mean})
-    return rows.select("event_id", F.when(F.col("n") > 10, F.round(32 / F.col("t"), 6)).alias("samples_per_second"))
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    out = series.rolling(rows, ["event_type"], ["event_id"], 10, lambda w: {"t": F.avg(F.abs("value") + 1).over(w)})
+    return out.select("event_id", F.when(F.col("position") > 10, F.round(32 / F.col("t"), 6)).alias("samples_per_second"))
 
 
 SQL_TOKENIZERS = f"SELECT 'words' AS tokenizer, len({sql_words('text')}) AS n, n_chars FROM documents UNION ALL SELECT 'characters', length(text), n_chars FROM documents UNION ALL SELECT 'lines', len(string_split(text, chr(10))), n_chars FROM documents"
@@ -241,7 +244,7 @@ def tokenizer_comparison(spark, sf_dir):
 # Pooled metrics ----------------------------------------------------------------------------------
 
 SQL_USED = "u AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, quality AS p, toxic AS l FROM labels WHERE doc_id % 7 > 0), n AS (SELECT count(*) AS total_tokens, count(DISTINCT p) AS unique_tokens, count(DISTINCT l) AS labels, count(*) FILTER (p = l) AS same FROM u)"
-SQL_BASE = "round(same / total_tokens, 6) AS accuracy, unique_tokens, total_tokens"
+SQL_BASE = "round(same / total_tokens, 6) AS accuracy, round(unique_tokens / total_tokens, 6) AS vocab_usage, unique_tokens, total_tokens, CASE WHEN total_tokens = 0 THEN CAST('inf' AS DOUBLE) END AS perplexity"
 
 
 def _used(spark, sf_dir):
@@ -264,7 +267,7 @@ def metrics_code(spark, sf_dir):
     return tuning.task_metrics(_used(spark, sf_dir), "code")
 
 
-@query("metrics_formatted", f"WITH {SQL_USED}, m AS (SELECT same / total_tokens AS a, * FROM n) SELECT 'accuracy' AS name, 'eval_accuracy: ' || printf('%.4f', a) AS line FROM m UNION ALL SELECT 'total_tokens', 'eval_total_tokens: ' || total_tokens FROM m UNION ALL SELECT 'unique_tokens', 'eval_unique_tokens: ' || unique_tokens FROM m")
+@query("metrics_formatted", f"WITH {SQL_USED}, m AS (SELECT same / total_tokens AS a, * FROM n) SELECT 'accuracy' AS name, 'eval_accuracy: ' || printf('%.4f', a) AS line FROM m UNION ALL SELECT 'vocab_usage', 'eval_vocab_usage: ' || printf('%.4f', unique_tokens / total_tokens) FROM m UNION ALL SELECT 'total_tokens', 'eval_total_tokens: ' || total_tokens FROM m UNION ALL SELECT 'unique_tokens', 'eval_unique_tokens: ' || unique_tokens FROM m")
 def metrics_formatted(spark, sf_dir):
     return tuning.formatted(tuning.task_metrics(_used(spark, sf_dir), "general"), "eval_")
 

@@ -37,8 +37,8 @@ def web_records(raw: DataFrame, index: str, dataset: str) -> DataFrame:
 
 
 def chunk_records(raw: DataFrame, file_name: Column, line: str) -> DataFrame:
-    """Records of unified chunks with the defaults of their kind; ``huggingface`` in the file's name marks web texts."""
-    web = F.lower(file_name).contains("huggingface")
+    """Records of unified chunks with the defaults of their kind; ``huggingface`` in the file's name, spelt so, marks web texts."""
+    web = file_name.contains("huggingface")
     pick = lambda own, name, default: F.when(web, F.lit(own)).otherwise(_or(raw, name, F.lit(default)))
     return raw.select(
         pick("openwebtext", "subreddit", "").alias("subreddit"), F.when(web, _or(raw, "id", F.concat(F.lit("hf_"), F.col(line)))).otherwise(_or(raw, "id", F.lit(""))).alias("id"),
@@ -114,8 +114,9 @@ def sample_of_files(rows: DataFrame, files: int, texts: int) -> DataFrame:
 
 
 def resume_after(inputs: DataFrame, sentinel: str, failed: DataFrame) -> DataFrame:
-    """Files (name) after the last one that was done, without those that failed."""
-    return inputs.where(F.col("name") > sentinel).join(failed.select("name"), "name", "left_anti")
+    """Files (name) after ``sentinel``, the last one that was done, without those that failed; none if ``sentinel`` is not among the inputs."""
+    there = inputs.where(F.col("name") == sentinel).select(F.lit(1)).limit(1)
+    return inputs.where((F.col("name") > sentinel) & there.exists()).join(failed.select("name"), "name", "left_anti")
 
 
 def data_file(exists, folder: str) -> tuple[str, str] | None:

@@ -19,6 +19,12 @@ def subreddit_field(name: Column) -> Column:
     return F.try_element_at(F.split(name, "_"), F.lit(3))
 
 
+def collection_info(files: DataFrame) -> DataFrame:
+    """Of files (name): all, those whose names hold ``comments`` and ``submissions`` anywhere, and the different third fields of names that have one."""
+    holds = lambda part: F.count_if(F.col("name").contains(part))
+    return files.agg(F.count(F.lit(1)).alias("files"), holds("comments").alias("comment_files"), holds("submissions").alias("submission_files"), F.countDistinct(subreddit_field(F.col("name"))).alias("subreddits"))
+
+
 def dump_inventory(files: DataFrame, record_bytes: int = 500) -> DataFrame:
     """Files, MB, estimated records and kinds of each subreddit."""
     return files.groupBy(subreddit(F.col("name")).alias("subreddit")).agg(

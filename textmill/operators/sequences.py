@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from textmill.operators.chunking import greedy_chunks  # noqa: F401  (one of this module's rules)
 
 WINDOW, STRIDE = 1024, 512
 
@@ -83,33 +81,6 @@ def supervised(ids: Column, length: int, pad_id: int = 0) -> tuple[Column, Colum
     return full, F.transform(full, lambda x: F.when(x == pad_id, -100).otherwise(x))
 
 
-def greedy_chunks(df: DataFrame, group: str, order: list[str], size: str, limit: int, close_before: bool = True) -> DataFrame:
-    """``df`` with ``chunk`` (from 1): rows in order, a chunk closed before it would exceed ``limit`` (or after reaching it).
-
-    The rule depends on all earlier rows of its group, so each group (a file) streams through one task in sorted order;
-    only the running size is held. Groups are spread over tasks by hash.
-    """
-    schema = T.StructType([*df.schema.fields, T.StructField("chunk", T.IntegerType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, total, chunk = None, 0, 1
-        for batch in batches:
-            numbers = []
-            for g, n in zip(batch[group], batch[size], strict=True):
-                if g != last:
-                    last, total, chunk = g, 0, 1
-                if close_before:
-                    if total and total + n > limit:
-                        total, chunk = 0, chunk + 1
-                elif total >= limit:
-                    total, chunk = 0, chunk + 1
-                total += n
-                numbers.append(chunk)
-            yield batch.assign(chunk=pd.Series(numbers, dtype="int32", index=batch.index))
-
-    return df.repartition(group).sortWithinPartitions(group, *order).mapInPandas(run, schema)
-
-
 def verify_windows(df: DataFrame, vocab: int, length: int) -> DataFrame:
     """Counts of windows, of wrong shapes, of masks that differ from ids in size, and of ids outside the vocabulary."""
     return df.agg(

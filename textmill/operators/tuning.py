@@ -118,9 +118,10 @@ def pooled_grams(pairs: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def task_metrics(pairs: DataFrame, task: str) -> DataFrame:
-    """One row of the task's measures, pooled over all places of ``pairs`` (as from ``used_pairs``); no places give accuracy 0 and nulls."""
+    """One row of the task's measures, pooled over all places of ``pairs`` (as from ``used_pairs``). No places give accuracy 0 and an infinite perplexity, which is null otherwise."""
     n, same = F.count(F.lit(1)), F.count_if(F.col("p") == F.col("l"))
     base = [F.round(F.coalesce(F.try_divide(same, n), F.lit(0.0)), 6).alias("accuracy"), F.countDistinct("p").alias("unique_tokens"), n.alias("total_tokens")]
+    base += [F.round(F.try_divide(F.countDistinct("p"), n), 6).alias("vocab_usage"), F.when(n == 0, F.lit(float("inf"))).alias("perplexity")]
     if task == "instruct":
         return pairs.agg(*base, F.round(n / F.greatest(F.countDistinct("l"), F.lit(1)), 6).alias("avg_response_length"), F.round(F.try_divide(same, n), 6).alias("adherence_score"))
     if task == "chat":
@@ -139,5 +140,6 @@ def formatted(metrics: DataFrame, prefix: str = "") -> DataFrame:
     """A row for each measure of a one-row table, by name: floats with four places."""
     kinds = dict(metrics.dtypes)
     line = lambda c: F.format_string(f"{prefix}{c}: %.4f", F.col(c)) if kinds[c] in ("double", "float") else F.format_string(f"{prefix}{c}: %s", F.col(c).cast("string"))
-    rows = F.array(*[F.struct(F.lit(c).alias("name"), line(c).alias("line")) for c in sorted(metrics.columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.when(F.col(c).isNotNull(), line(c)).alias("line")) for c in sorted(metrics.columns)])
+    rows = F.filter(rows, lambda r: r["line"].isNotNull())  # measures without a value have no line
     return metrics.select(F.inline(rows))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions import text as T
@@ -32,11 +32,31 @@ def clean_posts(posts: DataFrame, order: str = "doc_id") -> DataFrame:
     return T.once(out, quality_reason=reason)
 
 
-def clean_dumps(rows: DataFrame, text: str, score: str, order: str, web: bool = False) -> DataFrame:
-    """Texts are cleaned, then duplicates of the cleaned text go, then low scores."""
+def clean_dumps(rows: DataFrame, text: str, score: str, order: str, web: bool | Column = False) -> DataFrame:
+    """Texts are cleaned, then duplicates of the cleaned text go, then low scores, but those of ``web`` rows (all, none, or by a row's own flag)."""
     out = T.once(rows, text_clean=T.clean_dump(F.col(text))).where(F.col("text_clean").isNotNull())
     out = cleaning.first_wins(out, T.key_dump(F.col("text_clean")), order)
-    return out if web else out.where(F.col(score) >= 1)
+    return out.where(_scored(score, web))
+
+
+def _scored(score: str, web: bool | Column) -> Column:
+    return (F.lit(web) if isinstance(web, bool) else F.coalesce(web, F.lit(False))) | (F.col(score) >= 1)
+
+
+def file_stats(rows: DataFrame, file: str, text: str, score: str, order: str, web: bool | Column = False) -> DataFrame:
+    """Of each file, and of all (file null): files_processed, posts_read, posts_cleaned and duplicates of the run that ``clean_dumps`` does.
+
+    Texts become keys in the pass that reads them. Rows of a key are counted by file first, so a key meets in one task with a row for each file at most.
+    """
+    kept = _scored(score, web)
+    keyed = T.once(rows.select(F.col(file).alias("file"), text, F.col(order).alias("order"), kept.alias("kept")), clean=T.clean_dump(F.col(text)))
+    keyed = keyed.select("file", "order", "kept", F.when(F.col("clean").isNotNull(), T.key_dump(F.col("clean"))).alias("key"))
+    by_file = keyed.groupBy("key", "file").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("order", "kept")).alias("first"))
+    firsts = by_file.where("key IS NOT NULL").groupBy("key").agg(F.min("first").alias("least"))
+    found = by_file.join(firsts, "key", "left").withColumn("wins", F.coalesce(F.col("first") == F.col("least"), F.lit(False)))
+    duplicates = F.when(F.col("key").isNotNull(), F.col("n") - F.col("wins").cast("long")).otherwise(0)
+    cleaned = F.count_if(F.col("wins") & F.col("first")["kept"])
+    return found.rollup("file").agg(F.countDistinct("file").alias("files_processed"), F.sum("n").alias("posts_read"), cleaned.alias("posts_cleaned"), F.sum(duplicates).alias("duplicates"))
 
 
 def multi_source(items: DataFrame, order: str, least: float = 25.0) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import bpe
 from textmill.functions import text as T
-from textmill.operators import cleaning, progress, records, reports, sequences, tuning
+from textmill.operators import cleaning, progress, records, reports, sequences, series, tuning
 from textmill.plans import pipelines, planner
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,17 @@ def massive_pipeline(spark, sf_dir):
     return out.select("doc_id", "subreddit", "score", F.col("text_clean").alias("text"))
 
 
+@query("massive_file_stats", f"""WITH {SQL_POSTS}, n AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'huggingface_' ELSE 'reddit_' END || subreddit AS file FROM posts),
+c AS (SELECT doc_id, file, score, selftext, {SQL_FLAT('selftext')} AS flat, {SQL_DUMP('selftext')} AS text FROM n),
+k AS (SELECT *, row_number() OVER (PARTITION BY {SQL_KEY_DUMP('text')} ORDER BY doc_id) AS place FROM c WHERE selftext NOT IN ('', '[deleted]', '[removed]') AND length(flat) >= 20 AND length(text) >= 20),
+r AS (SELECT c.file, place, k.score >= 1 OR contains(c.file, 'huggingface') AS good FROM c LEFT JOIN k USING (doc_id))
+SELECT file, count(DISTINCT file) AS files_processed, count(*) AS posts_read, count(*) FILTER (place = 1 AND good) AS posts_cleaned, count(*) FILTER (place > 1) AS duplicates FROM r GROUP BY ROLLUP (file)""")
+def massive_file_stats(spark, sf_dir):
+    rows = pipelines.corpus(spark, sf_dir).select("doc_id", "subreddit", "score", "selftext")
+    rows = rows.withColumn("file", F.concat(F.when(F.col("doc_id") % 5 == 0, "huggingface_").otherwise("reddit_"), "subreddit"))
+    return pipelines.file_stats(rows, "file", "selftext", "score", "doc_id", F.col("file").contains("huggingface"))
+
+
 SQL_ITEMS = f"items AS (SELECT *, CASE WHEN {sql_strip('selftext')} = '' THEN 'Topic: ' ELSE 'Topic: ' || chr(10) || chr(10) || 'Discussion: ' || selftext END AS training_text, {SQL_POST_SCORE} AS quality_score FROM posts)"
 SQL_KEPT_ITEMS = f"kept AS (SELECT * FROM items WHERE {sql_strip('training_text')} <> '' AND quality_score >= 25 QUALIFY row_number() OVER (PARTITION BY md5({sql_strip('lower(training_text)')}) ORDER BY doc_id) = 1)"
 
@@ -527,18 +538,21 @@ SQL_W = "OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN {} PRECEDI
 
 @query("rolling_loss", f"SELECT event_id, round(avg(value) {SQL_W.format(99)}, 9) AS mean_100, round(avg(value) {SQL_W.format(9)}, 9) AS mean_10, round(var_pop(value) {SQL_W.format(99)}, 2) AS variance_100 FROM events")
 def rolling_loss(spark, sf_dir):
-    r = lambda n, agg=F.avg: progress.rolling("value", ["event_id"], n, ["event_type"], agg)
-    return _steps(spark, sf_dir).select("event_id", F.round(r(100), 9).alias("mean_100"), F.round(r(10), 9).alias("mean_10"), F.round(r(100, F.var_pop), 2).alias("variance_100"))
+    def made(w):
+        ten = w.rowsBetween(-9, 0)
+        return {"mean_100": F.round(F.avg("value").over(w), 9), "mean_10": F.round(F.avg("value").over(ten), 9), "variance_100": F.round(F.var_pop("value").over(w), 2)}
+
+    return series.rolling(_steps(spark, sf_dir), ["event_type"], ["event_id"], 100, made).select("event_id", "mean_100", "mean_10", "variance_100")
 
 
 @query("running_best", f"SELECT event_id, min(value) {SQL_W.format('UNBOUNDED')} AS best FROM events")
 def running_best(spark, sf_dir):
-    return _steps(spark, sf_dir).select("event_id", progress.running_best("value", ["event_id"], ["event_type"]).alias("best"))
+    return series.running_best(_steps(spark, sf_dir), ["event_type"], ["event_id"], "value").select("event_id", "best")
 
 
 @query("loss_trend", "SELECT event_id, CASE WHEN p IS NULL THEN 'start' WHEN value < p THEN 'improving' ELSE 'stable' END AS trend FROM (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY event_id) AS p FROM events)")
 def loss_trend(spark, sf_dir):
-    return _steps(spark, sf_dir).select("event_id", progress.trend("value", ["event_id"], ["event_type"]).alias("trend"))
+    return series.trend(_steps(spark, sf_dir), ["event_type"], ["event_id"], "value").select("event_id", "trend")
 
 
 @query("interval_average", "SELECT event_type, CAST(floor((event_id - 1) / 50.0) AS BIGINT) AS interval, round(avg(value), 6) AS mean, count(*) AS steps FROM events GROUP BY ALL")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.functions import bpe
-from textmill.operators import artifacts, cleaning, progress, reports, tuning
+from textmill.operators import artifacts, cleaning, reports, series, tuning
 from textmill.plans import pipelines, planner
 from textmill.queries import (
     SQL_GRAMS, SQL_IDS, SQL_PAIR_WORDS, SQL_PAIRS, SQL_POSTS, SQL_TRAINING, SQL_W, VOCABULARY, _sql_describe, _sql_split, documents, pair_words, query, table, turn_pairs, word_ids,
@@ -55,8 +55,9 @@ def source_type_split(spark, sf_dir):
 
 @query("loss_slope", f"SELECT event_id, round(coalesce(covar_pop(event_id, value) {SQL_W.format(99)} / nullif(var_pop(event_id) {SQL_W.format(99)}, 0), 0), 6) AS slope_100 FROM events")
 def loss_slope(spark, sf_dir):
-    rows = table(spark, sf_dir, "events")
-    return rows.select("event_id", F.round(progress.slope("value", "event_id", ["event_id"], 100, ["event_type"]), 6).alias("slope_100"))
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    out = series.rolling(rows, ["event_type"], ["event_id"], 100, lambda w: {"slope": series.slope("value", "event_id", w)})
+    return out.select("event_id", F.round("slope", 6).alias("slope_100"))
 
 
 @query("json_estimate", "SELECT count(*) AS sampled, count(*) FILTER (json_valid(props)) AS parsed, count(*) FILTER (json_valid(props)) * 10 > count(*) * 8 AS json_lines, CAST(floor(count(*) FILTER (json_valid(props)) / count(*) * 2.5 * 1000000) AS BIGINT) AS estimated_records FROM (SELECT props FROM events ORDER BY event_id LIMIT 10)")

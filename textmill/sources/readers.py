@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 MESSAGES = "array<struct<role:string,content:string>>"
 SFT = f"messages {MESSAGES}, prompt string, response string, instruction string, input string, output string, completion string, code string, problem string, solution string, text string"
@@ -22,16 +23,27 @@ def json_lines(spark: SparkSession, path: str | list[str], schema: str, glob: st
     return reader.json(path).select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
-def numbered_lines(spark: SparkSession, path: str, schema: str, glob: str = "*") -> DataFrame:
-    """JSON lines with source_file and source_line (from 1, blank lines counted); blank and bad lines are dropped.
+def line_numbers(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Lines of text files with source_path, source_file and source_line (from 1, blank lines counted).
 
-    Line numbers need each file whole, so this is for files of moderate size; ``json_lines`` splits large ones.
+    Large files are read in splits. A line's place in its split follows the reading order; lines of earlier splits are counted, and one
+    row for each split tells what comes before it.
     """
-    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True)
-    rows = text.select(F.col("_metadata.file_name").alias("source_file"), F.posexplode(F.split("value", "\n")).alias("at", "line"))
-    rows = rows.where(F.trim("line") != "").withColumn("r", F.from_json("line", schema, {"mode": "PERMISSIVE"}))
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+    meta = F.col("_metadata")
+    rows = text.select(meta["file_path"].alias("source_path"), meta["file_name"].alias("source_file"), meta["file_block_start"].alias("split"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    splits = rows.groupBy("source_path", "split").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("lines"))
+    earlier = Window.partitionBy("source_path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    splits = splits.select("source_path", "split", (F.col("first") - F.coalesce(F.sum("lines").over(earlier), F.lit(0))).alias("zero"))
+    out = rows.join(splits, ["source_path", "split"])
+    return out.select("source_path", "source_file", (F.col("at") - F.col("zero") + 1).alias("source_line"), "line")
+
+
+def numbered_lines(spark: SparkSession, path: str, schema: str, glob: str = "*") -> DataFrame:
+    """JSON lines with source_file and source_line (from 1, blank lines counted); blank and bad lines are dropped."""
+    rows = line_numbers(spark, path, glob).where(F.trim("line") != "").withColumn("r", F.from_json("line", schema, {"mode": "PERMISSIVE"}))
     rows = rows.where(F.col("r").isNotNull() & F.try_variant_get(F.try_parse_json("line"), "$", "string").isNotNull())
-    return rows.select("r.*", "source_file", (F.col("at") + 1).alias("source_line"))
+    return rows.select("r.*", "source_file", "source_line")
 
 
 def corrupt_counts(df: DataFrame) -> DataFrame:
@@ -92,9 +104,9 @@ def token_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def log_tail(spark: SparkSession, path: str, lines: int) -> DataFrame:
-    """The last lines of a log."""
-    rows = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"))
-    return rows.orderBy(F.desc("at")).limit(lines).orderBy("at").select("value")
+    """The last lines of a log, by their numbers; of several files the last ones by name."""
+    rows = line_numbers(spark, path)
+    return rows.orderBy(F.desc("source_path"), F.desc("source_line")).limit(lines).orderBy("source_path", "source_line").select(F.col("line").alias("value"))
 
 
 def checkpoints(spark: SparkSession, path: str) -> DataFrame:
