@@ -65,6 +65,19 @@ def operation_times(log: DataFrame, operation: str, seconds: str) -> DataFrame:
     return log.groupBy(operation).agg(F.round(F.avg(seconds), 6).alias("avg"), F.max(seconds).alias("max"), F.min(seconds).alias("min"), F.count(F.lit(1)).alias("calls"))
 
 
+def operation_rates(log: DataFrame, operation: str, seconds: str, size: str) -> DataFrame:
+    """Times of each operation, its MB in all, and the mean of its calls' MB a second (calls without time left out)."""
+    mb = F.col(size) / 1048576
+    times = [F.round(F.avg(seconds), 6).alias("avg"), F.max(seconds).alias("max"), F.min(seconds).alias("min"), F.count(F.lit(1)).alias("calls")]
+    return log.groupBy(operation).agg(*times, F.round(F.sum(mb), 6).alias("total_mb"), F.round(F.avg(F.try_divide(mb, F.nullif(F.col(seconds), F.lit(0.0)))), 6).alias("mb_per_second"))
+
+
+def training_counts(rows: DataFrame, words: str, score: str, comments: str) -> DataFrame:
+    """The conditional counts of training metadata: more than 20 words, a score above 10, more than 5 comments."""
+    limits = ((words, 20, "over_20_words"), (score, 10, "over_score_10"), (comments, 5, "over_5_comments"))
+    return rows.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col(c) > n).alias(name) for c, n, name in limits])
+
+
 def mean_of_present(metrics: DataFrame, columns: list[str]) -> DataFrame:
     """Mean of each metric over the batches that have it."""
     return metrics.agg(*[F.round(F.avg(c), 6).alias(c) for c in columns])

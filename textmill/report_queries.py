@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.functions import bpe
-from textmill.operators import artifacts, cleaning, reports, series, tuning
+from textmill.functions import text as T
+from textmill.operators import artifacts, cleaning, reports, sequences, series, tuning
 from textmill.plans import pipelines, planner
 from textmill.queries import (
-    SQL_GRAMS, SQL_IDS, SQL_PAIR_WORDS, SQL_PAIRS, SQL_POSTS, SQL_TRAINING, SQL_W, VOCABULARY, _sql_describe, _sql_split, documents, pair_words, query, table, turn_pairs, word_ids,
+    SQL_GRAMS, SQL_IDS, SQL_PAIR_WORDS, SQL_PAIRS, SQL_POSTS, SQL_TRAINING, SQL_W, VOCABULARY, _sql_describe, _sql_split, documents, pair_words, query, sql_words, table, turn_pairs, word_ids,
 )
 
 # Tokens ------------------------------------------------------------------------------------------
@@ -97,3 +98,27 @@ def generation_quality(spark, sf_dir):
     variety = artifacts.token_variety(pairs, "g").select("unique_tokens", "token_diversity")
     bleu = [F.round(F.avg(tuning.simple_bleu(F.col("g"), F.col("r"), n)), 6).alias(f"bleu_{n}") for n in (1, 2)]
     return pairs.agg(*bleu).crossJoin(F.broadcast(variety))  # one row each
+
+
+@query("operation_rates", "SELECT lang, round(avg(n_chars / 1000.0), 6) AS avg, max(n_chars / 1000.0) AS max, min(n_chars / 1000.0) AS min, count(*) AS calls, round(sum(strlen(text) / 1048576), 6) AS total_mb, round(avg(strlen(text) / 1048576 / nullif(n_chars / 1000.0, 0)), 6) AS mb_per_second FROM documents GROUP BY lang")
+def operation_rates(spark, sf_dir):
+    """A text of 1,000 characters takes one second."""
+    log = documents(spark, sf_dir).select("lang", (F.col("n_chars") / F.lit(1000.0)).alias("seconds"), F.octet_length("text").alias("bytes"))
+    return reports.operation_rates(log, "lang", "seconds", "bytes")
+
+
+@query("training_counts", f"""WITH c AS (SELECT conv_id, count(*) - 1 AS comments, max(CASE WHEN turn = 0 THEN len({sql_words("coalesce(text, '')")}) END) AS words, max(length(text)) AS score FROM conversations GROUP BY conv_id)
+SELECT count(*) AS total, count(*) FILTER (words > 20) AS over_20_words, count(*) FILTER (score > 10) AS over_score_10, count(*) FILTER (comments > 5) AS over_5_comments FROM c""")
+def training_counts(spark, sf_dir):
+    """A conversation's first turn is the post, the others are its comments; the longest turn stands for the score."""
+    words = F.when(F.col("turn") == 0, F.size(T.words(F.coalesce("text", F.lit("")))))
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg((F.count(F.lit(1)) - 1).alias("comments"), F.max(words).alias("words"), F.max(F.length("text")).alias("score"))
+    return reports.training_counts(rows, "words", "score", "comments")
+
+
+@query("window_integrity", f"""WITH {SQL_IDS}, w AS (SELECT doc_id, ids, unnest(range(0, CAST(1 + greatest(ceil((len(ids) - 1024) / 512.0), 0) AS BIGINT))) AS w FROM ids), x AS (SELECT ids[w * 512 + 1 : w * 512 + 1024] AS i FROM w)
+SELECT count(*) AS windows, count(*) FILTER (len(i) > 1024) AS too_long, 0 AS mask_mismatch, count(*) FILTER (len(list_filter(i, lambda x: x < 0 OR x >= 12)) > 0) AS out_of_vocabulary, count(*) FILTER (len(i) = 0) AS empty FROM x""")
+def window_integrity(spark, sf_dir):
+    """Shapes, masks and ids of all windows; ids are held against a small vocabulary, so that some are outside."""
+    windows = sequences.token_windows(word_ids(spark, sf_dir), "ids")
+    return sequences.verify_windows(windows.withColumn("attention_mask", sequences.mask(F.col("input_ids"), F.size("input_ids"))), 12, sequences.WINDOW)

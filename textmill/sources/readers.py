@@ -69,6 +69,32 @@ def sft(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"neither .jsonl nor .json: {path}")
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in any store that Spark reaches."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def known_folders(spark: SparkSession, folders: list[str], schema: str, glob: str = "*") -> DataFrame:
+    """JSON lines of those folders that exist, in their order (source_rank); none gives an empty table."""
+    found = [json_lines(spark, f, schema, glob) for f in folders if there(spark, f)]
+    return union_of(found) if found else spark.createDataFrame([], f"{schema}, bad string, source_file string, source_rank int")
+
+
+def tuning_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """Training and evaluation examples of a folder: ``train.jsonl`` with ``eval.jsonl``, else ``train.json`` with ``eval.json``; no evaluation file gives None."""
+    kind = "jsonl" if there(spark, f"{folder}/train.jsonl") else "json"
+    return sft(spark, f"{folder}/train.{kind}"), sft(spark, f"{folder}/eval.{kind}") if there(spark, f"{folder}/eval.{kind}") else None
+
+
+def web_corpus(spark: SparkSession, path: str, schema: str, max_samples: int | None = None) -> DataFrame:
+    """A web corpus of JSON lines; ``max_samples`` takes the first lines by file and place."""
+    if max_samples is None:
+        return json_lines(spark, path, schema)
+    rows = line_numbers(spark, path).where(F.trim("line") != "").orderBy("source_path", "source_line").limit(max_samples)
+    return rows.select(F.from_json("line", schema).alias("r"), "source_file", "source_line").select("r.*", "source_file", "source_line")
+
+
 def text_column(df: DataFrame) -> str:
     """The first of the usual text columns, or else the first string column."""
     for name in ("text", "content", "prompt", "instruction", "input"):

@@ -18,6 +18,17 @@ def summary(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def training_set(df: DataFrame, folder: str, metadata: DataFrame) -> None:
+    """Each ``split`` as CSV (all columns) and as JSON lines of training items, and a one-row ``training_metadata``.
+
+    ``df`` has split, training_text, id, subreddit, score and training_word_count; texts keep their line ends in quotes.
+    """
+    df.write.mode("overwrite").partitionBy("split").option("header", "true").option("escape", '"').csv(f"{folder}/csv")
+    items = df.select("split", F.col("training_text").alias("text"), "id", "subreddit", "score", F.col("training_word_count").alias("word_count"), F.lit("reddit_cleaned").alias("source"))
+    items.write.mode("overwrite").partitionBy("split").json(f"{folder}/jsonl")
+    summary(metadata, f"{folder}/training_metadata")
+
+
 def chunked_lines(df: DataFrame, path: str, group: str, order: list[str], limit: int = 100 * 1024 * 1024, close_before: bool = True) -> None:
     """JSON lines in chunks of about ``limit`` bytes for each group; sizes count the line and its end."""
     line = F.to_json(F.struct(*[c for c in df.columns if c != group]))
