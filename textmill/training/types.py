@@ -21,6 +21,11 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all shuffle partitions, however small it is: its rows cost more time than their bytes tell."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def word_types(df: DataFrame, text: str, pattern: str, normalise: Callable[[str], list[str]]) -> DataFrame:
     """word, n: texts cut at ``pattern``, counted, and each type normalised once into words, which are counted again. A null text has none."""
     raw = df.select(F.explode(F.split(F.col(text), pattern)).alias("raw")).where("raw <> ''").groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
