@@ -73,3 +73,24 @@ def test_comparison_and_diagnosis(spark):
     common = spark.createDataFrame([("bpe", "the", 3), ("bpe", "and", 3), ("unigram", "the", 1)], "tokenizer string, word string, tokens int")
     found = {r["tokenizer"]: r["issues"] for r in compare.diagnosed(compare.compared(df, "text", models), common).collect()}
     assert found["bpe"] == ["low compression", "fragmented words"] and "unknown tokens" in found["wordpiece"]
+
+
+def test_compressed_dumps_become_lines(spark, tmp_path):
+    import zstandard
+
+    from textmill.plans import pipelines
+
+    (tmp_path / "in").mkdir()
+    files = {
+        "news_comments.zst": [{"id": "c1", "body": "a comment of some length", "score": 3}, {"id": "c2", "body": "[deleted]"}, {"id": "c3", "body": "short"}],
+        "news_submissions.zst": [{"id": "s1", "selftext": "a post of some length", "title": "T", "created_utc": 1700000000}, {"id": "s2", "selftext": ""}],
+        "empty_comments.zst": [{"id": "e1", "body": ""}],
+    }
+    for name, rows in files.items():
+        data = "\n".join([json.dumps(r) for r in rows] + ["", "{not json"]) + "\n"
+        (tmp_path / "in" / name).write_bytes(zstandard.ZstdCompressor().compress(data.encode()))
+    found = pipelines.extract_dumps(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {r["dump"]: r["rows"] for r in found.collect()} == {"news_comments": 1, "news_submissions": 1}
+    rows = {r["id"]: r.asDict() for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert rows["c1"]["text"] == "a comment of some length" and rows["c1"]["type"] == "comment" and rows["c1"]["subreddit"] == "news" and rows["c1"]["score"] == 3
+    assert rows["s1"]["title"] == "T" and rows["s1"]["created_utc"] == 1700000000 and rows["s1"]["author"] == "[deleted]"

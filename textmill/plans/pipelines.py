@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as T
 from textmill.operators import cleaning, records
+from textmill.sources import readers
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,3 +78,22 @@ def items_from(posts: DataFrame) -> DataFrame:
     rows = posts.withColumn("id", F.col("doc_id").cast("string"))
     made = records.discussions(rows)
     return made.withColumn("doc_id", F.col("id").cast("long"))
+
+
+#: Fields of dump lines that records are made of.
+DUMP = "id string, author string, created_utc string, score string, selftext string, body string, title string"
+
+
+def extract_dumps(spark: SparkSession, folder: str, out: str, glob: str = "*.zst") -> DataFrame:
+    """Compressed dumps as JSON lines of unified records, one folder for each dump; gives the rows that it wrote, by dump.
+
+    Lines that are not JSON, and gone or short texts, are left out. A dump without rows has no folder. A compressed file is one task, so large dumps come in several.
+    """
+    raw = readers.json_lines(spark, folder, DUMP, glob).where("bad IS NULL")
+    rows = records.dump_rows(raw, F.col("source_file"))
+    rows = rows.withColumn("dump", F.concat_ws("_", "subreddit", F.when(F.col("type") != "unknown", F.concat("type", F.lit("s")))))
+    rows.write.mode("overwrite").partitionBy("dump").json(out)
+    return spark.read.schema(f"{DUMP_RECORD}, dump string").json(out).groupBy("dump").agg(F.count(F.lit(1)).alias("rows"))
+
+
+DUMP_RECORD = "id string, subreddit string, type string, author string, created_utc long, score long, text string, title string"
