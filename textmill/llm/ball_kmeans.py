@@ -44,7 +44,7 @@ def first_centroids(vectors: DataFrame, k: int, seed: str) -> np.ndarray:
     """The ``k`` vectors with the smallest hashes of seed and id, in that order."""
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256)
     rows = vectors.select(order.alias("h"), "q").orderBy(F.asc_nulls_last("h"), "q").limit(k).collect()
-    return np.array([r["q"] for r in rows], dtype=object).reshape(len(rows), -1)
+    return np.array([r["q"] for r in rows], dtype=object).reshape(len(rows), len(rows[0]["q"]) if rows else 0)
 
 
 class Balls:
