@@ -578,6 +578,48 @@ def test_very_large_regions_are_dealt_to_several_tasks(spark, monkeypatch):
     assert out == {i: 0 if i < 1000 else i for i, _ in rows}
 
 
+@pytest.mark.parametrize(("least", "block"), [(neardup.LEAST_LARGE, neardup.SEARCH_BYTES), (20, 2_000), (20, neardup.SEARCH_BYTES)])
+def test_rest_of_regions_against_all_pairs(spark, monkeypatch, least, block):
+    """Every two components that a link joins are joined: with one cell for each region, with several blocks and slices, and with slices only."""
+    monkeypatch.setattr(neardup, "LEAST_LARGE", least)
+    monkeypatch.setattr(neardup, "SEARCH_BYTES", block)
+    rng = np.random.default_rng(3)
+    sets = {}
+    for k in range(4):
+        base = rng.choice(1 << 40, 70, replace=False)
+        for i in range(40 if k else 90):
+            own = base.copy()
+            swap = rng.choice(70, int(rng.integers(4, 12)), replace=False)
+            own[swap] = rng.integers(1 << 40, 1 << 41, len(swap))
+            sets[1000 * k + i] = set(own.tolist())
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+
+    def roots(edges):
+        up = {i: i for i in sets}
+
+        def find(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+
+        for a, b in edges:
+            x, y = sorted((find(a), find(b)))
+            up[y] = x
+        return {i: find(i) for i in sets}
+
+    some = roots(links[::5])
+    assert len(set(some.values())) > len(set(roots(links).values())) > 4  # there are links to find, and nodes without any
+    packed = lambda grams: np.array(sorted(grams), "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    table = spark.createDataFrame([(i, packed(x), 6 * len(x)) for i, x in sets.items()], "node long, grams binary, size long").repartition(3)
+    members = [(i // 1000, i) for i in sets] + [(50 + i // 1000, i) for i in sets if i % 2]
+    known = spark.createDataFrame([(i, r) for i, r in some.items() if r != i], "node long, root long")
+    out = neardup.rest_of_regions(spark.createDataFrame(members, "part long, node long"), known, table).collect()
+    assert {tuple(sorted(r)) for r in out} <= set(links)
+    assert roots([*some.items(), *out]) == roots(links)
+    whole = spark.createDataFrame([(i, r) for i, r in roots([(a, a + 1) for a in sets if a + 1 in sets]).items() if r != i], "node long, root long")
+    assert neardup.rest_of_regions(spark.createDataFrame(members, "part long, node long"), whole, table) is None  # one component in each region
+
+
 # Rows that are alike, or have no id --------------------------------------------------------------------
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from textmill.llm.common import checkpoint
 
 #: A node with more edges than this, and than edges / PARTS, is joined by broadcast; so at most 2 * PARTS are.
-LEAST_LARGE, PARTS = 100_000, 10_000
+LEAST_LARGE, PARTS = 2_048, 10_000
+#: Edges from which on a step between two others is checkpointed; below it is cheaper made twice.
+CHECKPOINTED = 100_000
 
 
 def _with_least(edges: DataFrame, count: int) -> DataFrame:
@@ -39,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     while count:
         both = pairs.union(pairs.select("v", "u"))
         large = _with_least(both, 2 * count).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        if count > LEAST_LARGE:  # it is read once more where hubs are looked for
+        if count > CHECKPOINTED:  # it is read once more where hubs are looked for
             large = checkpoint(large)
         small = _with_least(large, count).select("u", "v", "m")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u != v").distinct()

@@ -11,10 +11,11 @@ nodes of regions are confirmed first; of the neighbour pairs only those that wou
 looked at, until none is left. Links are joined to components by star contraction.
 
 Of a region of more nodes than a node's neighbours, not all pairs have been tried. Where such a region still has several
-components, the nodes outside its main one are compared with all nodes of such regions by an exact prefix-filtered
-search: they are broadcast, part by part, and the others pass by in a map, so no region is gathered in one task and only links are returned.
+components, the nodes outside its main one are compared with all nodes of the region by an exact prefix-filtered
+search: they are an index in blocks of bounded size, which the region's nodes pass by in slices. Each block with each slice is a task's cell, so no region is gathered
+in one task, nothing goes through the driver, only links are returned, and regions do not meet each other's nodes.
 
-A very large region (more rows than ``LEAST_LARGE``, which one task sorts in a few MB, and than rows / ``PARTS``) is dealt to several tasks by a hash of the node. Its nodes meet their neighbours
+A very large region (more rows than ``LEAST_LARGE``, and than rows / ``PARTS``) is dealt to several tasks by a hash of the node. Its nodes meet their neighbours
 there and the first node of the whole region, by a broadcast of at most about ``PARTS`` rows; the exact search covers the rest.
 
 At similarity 0.75, a pair shares a tree's first three values with probability 0.42, and none of 24 with two in a million; that is the chance that a pair is missed by
@@ -44,12 +45,12 @@ NEIGHBOURS = 8
 NUMERATOR, DENOMINATOR = 75, 100
 #: Word hashes kept by a Python worker.
 CACHED_WORDS = 500_000
-#: Bytes of shingle sets that are broadcast at once.
+#: Bytes of the shingle sets of one block of a region's exact search, which a task holds.
 SEARCH_BYTES = 32 << 20
 
 #: Bits of a region's hash by which rows are counted, and what makes a region very large.
 PART_BITS = 20
-LEAST_LARGE, PARTS = 100_000, 20_000
+LEAST_LARGE, PARTS = 2_048, 20_000
 
 _RNG = np.random.default_rng(20240601)
 _MULTIPLY = _RNG.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
@@ -313,38 +314,95 @@ class _Index:
         self.mark[at[hit]] = False
 
 
-def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame, large: dict[int, int]) -> DataFrame | None:
-    """Links (a, b) between components of the regions in ``members`` (part, node), of which not all pairs were tried; None if there are none to try."""
-    rooted = members.join(roots, "node", "left").select("part", "node", F.coalesce("root", "node").alias("root"))
-    rooted = materialize(rooted, "regions")
-    main = rooted.groupBy("part", "root").agg(F.count(F.lit(1)).alias("rows")).groupBy("part").agg(F.max_by("root", "rows").alias("main"), F.count(F.lit(1)).alias("roots"))
-    main = main.where("roots > 1")
-    wide = F.shiftright("part", 63 - PART_BITS).isin(list(large)) if large else F.lit(False)  # these meet their few rows by broadcast
-    split = rooted.where(~wide).join(main.where(~wide), "part").unionByName(rooted.where(wide).join(F.broadcast(main.where(wide)), "part")).groupBy("node").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside"))
-    tried = materialize(split.join(sets, "node").where(F.length("grams") > 0), "split")
-    outside = tried.where("outside")
-    size = outside.agg(F.sum(F.length("grams") + 16)).first()[0]
-    if not size:
-        return None
-    spark, out = members.sparkSession, None
-    turns = -(-size // SEARCH_BYTES)
-    for turn in range(turns):
-        some = outside.where(F.pmod(F.xxhash64("node"), F.lit(turns)) == turn).select("node", "root", "grams").collect()  # SEARCH_BYTES, about
-        if not some:
-            continue
-        shared = spark.sparkContext.broadcast(tuple(map(list, zip(*some, strict=True))))
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) from rows (home, block, slice, kind, node, root, grams) sorted by cell (the first three) and kind.
+
+    Kinds 0 and 1 are a cell's index, of kind 0 compared with each other as well; those of kind 2 pass by it. One cell's index is held.
+    """
+    cell, held, index, among = None, [], None, False
+
+    def opened() -> tuple[_Index | None, list[tuple[int, int]]]:
+        if not held:
+            return None, []
+        made = _Index(*map(list, zip(*held, strict=True)))
+        return made, [p for node, root, grams in held for p in made.links(node, root, _unpacked(grams))] if among else []
+
+    for batch in batches:
+        found: list[tuple[int, int]] = []
+        for home, block, part, kind, node, root, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (home, block, part) != cell:
+                if index is None and among:
+                    found += opened()[1]
+                cell, held, index, among = (home, block, part), [], None, kind == 0
+            if kind < 2:
+                held.append((node, root, grams))
+                continue
+            if index is None:
+                index, own = opened()
+                found += own
+            if index is not None:
+                found += index.links(node, root, _unpacked(grams))
+        yield _pairs(found)
+    if index is None and among:
+        yield _pairs(opened()[1])
+
 
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = None
-            for batch in batches:
-                index = index or _Index(*shared.value)
-                found = [p for node, root, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True) for p in index.links(node, root, _unpacked(grams))]
-                yield pa.record_batch([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-        links = materialize(tried.select("node", "root", "grams").mapInArrow(search, "a long, b long"), "links")
-        shared.destroy()
-        out = links if out is None else out.union(links)
-    return out
+
+def _beside(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` (``total`` in all) with the columns of ``facts`` (key, rows: how many have it, ...); rows without facts go.
+
+    Keys of very many rows, fewer than ``PARTS``, come to them by broadcast, so no such key is gathered in one task.
+    """
+    most = max(LEAST_LARGE, total // PARTS)
+    many = facts.where(F.col("rows") > most).drop("rows")
+    if not many.head(1):
+        return rows.join(facts.drop("rows"), key)
+    many = F.broadcast(many)  # each has more than total / PARTS rows
+    few = rows.join(many.select(key), key, "left_anti").join(facts.where(F.col("rows") <= most).drop("rows"), key)
+    return few.unionByName(rows.join(many, key))
+
+
+def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Links (a, b) between components of the regions in ``members`` (part, node), of which not all pairs were tried; None if there are none to try.
+
+    Regions with one smallest node are searched together (they are mostly the same nodes, from several trees). Of such a group the nodes outside its main component
+    are the index, in blocks of ``SEARCH_BYTES``, and all its nodes pass by each block, in slices; a block with a slice is a cell, and cells spread over the tasks.
+    """
+    rooted = members.join(roots, "node", "left").join(sets.select("node", "size"), "node").where("size > 0")
+    rooted = materialize(rooted.select("part", "node", F.coalesce("root", "node").alias("root"), "size"), "regions")
+    parts = rooted.groupBy("part", "root").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("home"))
+    parts = parts.groupBy("part").agg(F.sum("rows").alias("rows"), F.min("home").alias("home"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    parts = materialize(parts.select("part", "rows", "home"), "regions")
+    if not parts.head(1):
+        remove(rooted, parts)
+        return None
+    inside = _beside(rooted.select("part", "node", "root", "size"), parts, "part", rooted.count())
+    inside = materialize(inside.groupBy("home", "node").agg(F.first("root").alias("root"), F.first("size").alias("size")), "inside")
+    of_root = inside.groupBy("home", "root").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"))
+    main = F.max(F.struct("rows", "root", "bytes")).alias("main")
+    homes = of_root.groupBy("home").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), main).withColumn("outer", F.col("bytes") - F.col("main.bytes"))
+    blocks = F.ceil(F.col("outer") / SEARCH_BYTES)
+    homes = homes.select("home", "rows", F.col("main.root").alias("main"), blocks.cast("int").alias("blocks"), "bytes", "outer")
+    # A slice has LEAST_LARGE rows or so, but is not smaller than the block that it passes by.
+    slices = F.greatest(F.lit(1), F.least(F.ceil(F.col("rows") / LEAST_LARGE), F.floor(F.col("blocks") * F.col("bytes") / F.col("outer"))))
+    homes = materialize(homes.select("home", "rows", "main", "blocks", slices.cast("int").alias("slices")), "homes")
+    cells = _beside(inside.select("home", "node", "root"), homes, "home", inside.count())
+    block, part = (F.pmod(F.xxhash64("node", F.lit(k)), F.col(n)).cast("int") for k, n in ((1, "blocks"), (2, "slices")))
+    cell = lambda b, s, kind: F.struct(b.alias("block"), s.alias("slice"), kind.cast("int").alias("kind"))
+    # With one block, its nodes are compared with each other in the first slice; with several, they pass by all blocks as the others do.
+    among = lambda s: F.when((F.col("blocks") == 1) & (s == 0), 0).otherwise(1)
+    index = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda s: cell(block, s, among(s)))
+    passing = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: cell(b, part, F.lit(2)))
+    outside = F.col("root") != F.col("main")
+    places = F.when(~outside, passing).when(F.col("blocks") == 1, index).otherwise(F.concat(index, passing))
+    cells = cells.select("home", "node", "root", F.explode(places).alias("cell")).select("home", "cell.block", "cell.slice", "cell.kind", "node", "root")
+    dealt = cells.join(sets.select("node", "grams"), "node").repartition("home", "block", "slice").sortWithinPartitions("home", "block", "slice", "kind", "node")
+    links = materialize(dealt.select("home", "block", "slice", "kind", "node", "root", "grams").mapInArrow(_search, "a long, b long"), "links")
+    remove(rooted, parts, inside, homes)
+    return links
 
 
 def _named(nodes: DataFrame) -> tuple[DataFrame, bool]:
@@ -370,26 +428,31 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rows = nodes.select("node", "n", "sig").mapInArrow(_trees(large), TREE)
     ordered = rows.repartition(F.col("deal")).sortWithinPartitions("deal", "key", "node")
     found = ordered.mapInArrow(_candidates, "a long, b long, kind int")
+    wide = None
     if large:
-        wide = materialize(nodes.select("node", "n", "sig").mapInArrow(_trees(large, only=True), TREE), "wide")
+        wide = materialize(nodes.select("node", "n", "sig").mapInArrow(_trees(large, only=True), TREE).select("part", "node", "n"), "wide")
         found = found.union(region_firsts(wide).withColumn("kind", F.lit(0))).union(wide.select("part", "node", F.lit(2)))
     found = found.groupBy("a", "b", (F.col("kind") == 2).alias("member")).agg(F.min("kind").alias("kind"))
     found = materialize(found.select("a", "b", "kind"), "candidates")
+    if wide is not None:
+        remove(wide)
     pairs = found.where("kind < 2")
     members = found.where("kind = 2").select(F.col("a").alias("part"), F.col("b").alias("node"))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.select("node")).distinct()
     # The node's own text: an id may have several.
     wanted = wanted.join(nodes.select("node", "id", "own"), "node")
     sets = docs.join(wanted.hint("merge"), ["id", "own"]).select("node", "text").mapInArrow(_sets, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
-    sets = materialize(sets, "shingles")
+    sets = materialize(sets.withColumn("size", F.length("grams").cast("long")), "shingles")
     first = components(confirmed(pairs.where("kind = 0"), sets))
     root = lambda side: first.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     rest = pairs.where("kind = 1").join(root("a"), "a", "left").join(root("b"), "b", "left")
     rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     final = components(confirmed(rest, sets).union(first.select("node", "root")))
-    more = rest_of_regions(members, final, sets, large)
-    if more is not None and more.head(1):
-        final = components(more.union(final.select("node", "root")))
+    more = rest_of_regions(members, final, sets)
+    if more is not None:
+        if more.head(1):
+            final = components(more.union(final.select("node", "root")))
+        remove(more)
     remove(found, sets)
     whole = nodes.select("seq", "id", "node").join(final, "node", "left").select("seq", "id", F.coalesce("root", "node").alias("root"))
     if renamed:  # the smallest name need not be the smallest id
