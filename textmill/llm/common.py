@@ -61,12 +61,6 @@ def remove(*tables: DataFrame) -> None:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a narrow table in the shared folder; Spark's cleaner removes it when nothing refers to it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def uncollected(rows: Iterator) -> Iterator:
     """``rows``, while the worker's cycle collector rests: it would go through all that a worker keeps again and again, and finds nothing where no cycles are made."""
     gc.disable()

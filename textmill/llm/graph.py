@@ -5,49 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import checkpoint
+from textmill.llm.common import materialize, remove
 
-#: A node with more edges than this, and than edges / PARTS, is joined by broadcast; so at most 2 * PARTS are.
+#: A node with more edges than this, and than edges / PARTS, is joined by broadcast; so fewer than PARTS are.
 LEAST_LARGE, PARTS = 2_048, 10_000
-#: Edges from which on a step between two others is checkpointed; below it is cheaper made twice.
-CHECKPOINTED = 100_000
 
 
 def _with_least(edges: DataFrame, count: int) -> DataFrame:
-    """u, v and m: the smallest of u and its neighbours v.
+    """u, v and m: the smallest of u and its neighbours v; ``edges`` has ``count`` rows at most.
 
     The minima are pre-aggregated. Edges of nodes with very many meet them by broadcast, where they lie; only the others are dealt by node.
     """
     least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("edges"))
     most = max(LEAST_LARGE, count // PARTS)
-    hubs = least.where(F.col("edges") > most).select("u", "m").collect() if count > most else []  # 2 * PARTS rows at most
-    if not hubs:
+    if count <= most:
         return edges.join(least.select("u", "m"), "u")
-    hubs = F.broadcast(edges.sparkSession.createDataFrame(hubs, "u long, m long"))
-    rest = edges.join(hubs.select("u"), "u", "left_anti").join(least.select("u", "m"), "u")
-    return rest.union(edges.join(hubs, "u").select(*rest.columns))
+    # Both parts read both columns of the sums, so that Spark makes them once.
+    hubs = F.broadcast(least.where(F.col("edges") > most).select("u", F.col("m").alias("hub")))  # each has more than count / PARTS edges
+    told = edges.join(hubs, "u", "left")
+    few = told.where(F.col("hub").isNull()).select("u", "v").join(least.where(F.col("edges") <= most).select("u", "m"), "u")
+    return few.union(told.where(F.col("hub").isNotNull()).select("u", "v", F.col("hub").alias("m")))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (two long columns, in any order) but the roots; root is the smallest node reachable.
 
-    Alternating large-star and small-star steps, each checkpointed. Edges with a null end are left out, as are loops; repeated edges count once;
-    an empty table gives no rows.
+    Alternating large-star and small-star steps, each written to the shared folder, where a few tasks read it again; the one before is removed. Edges with a null end
+    are left out, as are loops; repeated edges count once; an empty table gives no rows.
     """
     u, v = edges.columns
     pairs = edges.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct()
-    pairs = checkpoint(pairs)
+    pairs = materialize(pairs, "edges")
     state, count = None, pairs.count()
     while count:
         both = pairs.union(pairs.select("v", "u"))
         large = _with_least(both, 2 * count).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        if count > CHECKPOINTED:  # it is read once more where hubs are looked for
-            large = checkpoint(large)
         small = _with_least(large, count).select("u", "v", "m")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        pairs = checkpoint(small)
+        before, pairs = pairs, materialize(small, "edges")
+        remove(before)
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state, count = now, now[0]
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out.written_to = pairs.written_to
+    return out

@@ -379,7 +379,7 @@ def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame) -> Da
     if not parts.head(1):
         remove(rooted, parts)
         return None
-    inside = _beside(rooted.select("part", "node", "root", "size"), parts, "part", rooted.count())
+    inside = _beside(rooted.select("part", "node", "root", "size"), parts, "part", parts.agg(F.sum("rows")).first()[0])
     inside = materialize(inside.groupBy("home", "node").agg(F.first("root").alias("root"), F.first("size").alias("size")), "inside")
     of_root = inside.groupBy("home", "root").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"))
     main = F.max(F.struct("rows", "root", "bytes")).alias("main")
@@ -389,7 +389,7 @@ def rest_of_regions(members: DataFrame, roots: DataFrame, sets: DataFrame) -> Da
     # A slice has LEAST_LARGE rows or so, but is not smaller than the block that it passes by.
     slices = F.greatest(F.lit(1), F.least(F.ceil(F.col("rows") / LEAST_LARGE), F.floor(F.col("blocks") * F.col("bytes") / F.col("outer"))))
     homes = materialize(homes.select("home", "rows", "main", "blocks", slices.cast("int").alias("slices")), "homes")
-    cells = _beside(inside.select("home", "node", "root"), homes, "home", inside.count())
+    cells = _beside(inside.select("home", "node", "root"), homes, "home", homes.agg(F.sum("rows")).first()[0])
     block, part = (F.pmod(F.xxhash64("node", F.lit(k)), F.col(n)).cast("int") for k, n in ((1, "blocks"), (2, "slices")))
     cell = lambda b, s, kind: F.struct(b.alias("block"), s.alias("slice"), kind.cast("int").alias("kind"))
     # With one block, its nodes are compared with each other in the first slice; with several, they pass by all blocks as the others do.
@@ -451,9 +451,10 @@ def forest_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     more = rest_of_regions(members, final, sets)
     if more is not None:
         if more.head(1):
-            final = components(more.union(final.select("node", "root")))
+            before, final = final, components(more.union(final.select("node", "root")))
+            remove(before)
         remove(more)
-    remove(found, sets)
+    remove(found, sets, first)
     whole = nodes.select("seq", "id", "node").join(final, "node", "left").select("seq", "id", F.coalesce("root", "node").alias("root"))
     if renamed:  # the smallest name need not be the smallest id
         whole = whole.join(whole.groupBy("root").agg(F.min("id").alias("component")), "root")
