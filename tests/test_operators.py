@@ -106,6 +106,16 @@ def test_packing_tails_and_examples(spark):
     assert sorted((r["padded_ids"], r["attention_mask"]) for r in padded.collect()) == [([1, 0, 0], [1, 0, 0]), ([1, 2, 3], [1, 1, 1])]
 
 
+def test_padding_by_broadcast_and_by_group(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", [1]), ("a", [1, 2, 3]), ("b", []), (None, [4]), ("c", [5, 6])], "file string, ids array<int>")
+    want = [("a", [1, 0, 0], [1, 0, 0], 1), ("a", [1, 2, 3], [1, 1, 1], 3), ("b", [], [], 0), ("c", [5, 6], [1, 1], 2)]
+    for few in (sequences.FEW_GROUPS, 3, 2):
+        monkeypatch.setattr(sequences, "FEW_GROUPS", few)
+        got = sequences.pad_to_longest(rows, "file", "ids").select("file", "padded_ids", "attention_mask", "sequence_length")
+        assert sorted(map(tuple, got.collect())) == want
+    assert sequences.pad_to_longest(rows.where("false"), "file", "ids").count() == 0
+
+
 def test_greedy_chunks(spark):
     df = spark.createDataFrame([("a", i, n) for i, n in enumerate([60, 50, 40, 200, 10])], "file string, at int, bytes long")
     chunks = lambda early: [r["chunk"] for r in sequences.greedy_chunks(df, "file", ["at"], "bytes", 100, early).orderBy("at").collect()]

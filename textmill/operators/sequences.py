@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from textmill.operators.chunking import greedy_chunks  # noqa: F401  (one of this module's rules)
 
 WINDOW, STRIDE = 1024, 512
+#: Groups whose lengths are broadcast; with more, the rows are dealt by group.
+FEW_GROUPS = 50_000
 
 
 def window_starts(size: Column, length: int = WINDOW, stride: int = STRIDE) -> Column:
@@ -44,8 +46,14 @@ def mask(ids: Column, length: Column | int) -> Column:
 
 
 def pad_to_longest(df: DataFrame, group: str, ids: str) -> DataFrame:
-    """``df`` with padded ids, mask and length; the length is the longest of the group (a file)."""
-    longest = df.groupBy(group).agg(F.max(F.size(ids)).alias("__longest"))
+    """``df`` with padded ids, mask and length; the length is the longest of the group (a file). Rows of a null group go.
+
+    The lengths are made first, so that they go to the rows, by broadcast, and no array is shuffled; only with more than ``FEW_GROUPS`` groups are rows dealt.
+    """
+    longest = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.max(F.size(ids)).alias("__longest"))
+    found = longest.limit(FEW_GROUPS + 1).collect()
+    if len(found) <= FEW_GROUPS:
+        longest = F.broadcast(df.sparkSession.createDataFrame(found, longest.schema))
     out = df.join(longest, group).withColumns({"sequence_length": F.size(ids), "attention_mask": mask(F.col(ids), F.col("__longest"))})
     return out.withColumn("padded_ids", pad(F.col(ids), F.col("__longest"))).drop("__longest")
 
