@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tests.compare import database, same
@@ -552,6 +553,18 @@ def test_components_with_many_hubs(spark, monkeypatch):
     assert got == {i: find(i) for i in root if find(i) != i}
 
 
+def test_steps_of_components_have_small_plans(spark, monkeypatch):
+    """Spark keeps the plans on the driver: no step reads its tables again and again, nor does a task's code carry a table of all parts."""
+    monkeypatch.setattr(graph, "LEAST_LARGE", 5)
+    plans, write = [], graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, tag: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, tag))
+    hubs = [(i % 3, 10 + i) for i in range(60)] + [(i, i + 1) for i in range(100, 120)]
+    got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(hubs, "a long, b long")).collect()}
+    assert got == {10 + i: i % 3 for i in range(60)} | {i: 100 for i in range(101, 121)}
+    assert max(p.count(" parquet") for p in plans) <= 12
+    assert len(cloudpickle.dumps(neardup._trees({5: 3, 9: 2}))) < 100_000
+
+
 def test_near_duplicates_with_null_and_repeated_ids(spark):
     a, b, c = (" ".join(f"{x}{j}" for j in range(60)) for x in "abc")
     near = lambda t, k: " ".join([*t.split()[:-k], *[f"new{j}" for j in range(k)]])

@@ -144,12 +144,12 @@ def large_regions(nodes: DataFrame) -> dict[int, int]:
 
 def _trees(large: dict[int, int], only: bool = False):
     """A row for each node and tree: where it is dealt, the tree's whole signature, node, size, and its region; ``only`` those of very large regions."""
-    turns = np.ones(1 << PART_BITS, np.int64)
-    if large:
-        turns[list(large)] = list(large.values())
+    buckets, dealt = np.array(list(large), np.int64), np.array(list(large.values()), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 4 * DEPTH
+        turns = np.ones(1 << PART_BITS, np.int64)  # made here: the driver sends the few large ones
+        turns[buckets] = dealt
         for batch in batches:
             sigs = batch.column(2).to_pylist()
             part = _parts(sigs)
