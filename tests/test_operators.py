@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import random
 
 import numpy as np
 import pytest
@@ -390,3 +391,25 @@ def test_prepared_code_skips_what_has_no_code(spark):
     df = spark.createDataFrame([("p", "c", None, None, None), (None, None, "q", "s", "x"), ("p", None, None, None, "x"), (None, None, None, None, None)], "a string, b string, c string, d string, e string")
     got = [r[0] for r in df.select(tuning.code_prepared(*[F.col(x) for x in "abcde"])).collect()]
     assert got == ["# Task: p\n\nc", "# Problem:\nq\n\n# Solution:\ns", "x", None]
+
+
+def test_cleaning_skips_only_what_cannot_match(spark):
+    """Cleaned texts, spam and repetition are those of all patterns on all texts, and patterns are tried behind a search for what they need."""
+    rng = random.Random(11)
+    marks = ["[deleted]", "[removed]", "&gt;!", "!&lt;", "&gt;", "http://a.b/c", "/u/ann", "/r/x-1", "u/b", "r/c", "**", "*", "~~", "^up", "EDIT:", "eDıt", "edİt:", "Update", "UPDATE:", "\n", "\n\n", "\t", " ", " ", "\x1c"]
+    words = ["like", "to", "share", "check", "this", "link", "click", "here", "buy", "now", "limited", "time", "offer", "make", "money", "fast", "é", "word", " ", "  "]
+    rows = [(i, "".join(rng.choice(marks + words) + rng.choice(["", " "]) for _ in range(rng.randrange(25)))) for i in range(600)] + [(600, None), (601, ""), (602, " \n ")]
+    df = spark.createDataFrame(rows, "i int, t string")
+    plain = F.coalesce("t", F.lit(""))
+    for rule in T.POST_RULES:
+        plain = F.regexp_replace(plain, *rule)
+    key = F.md5(T.collapse(T.strip(F.lower(F.concat_ws(" ", F.lit(""), F.coalesce("t", F.lit("")))))).cast("binary"))
+    pairs = [(T.clean_post(F.col("t")), T.strip(plain)), (T.is_spam(F.lower("t")), F.lower("t").rlike("(?d)" + "|".join(T.SPAM))), (T.key_post(F.lit(""), F.col("t")), key)]
+    for got, want in pairs:
+        assert df.where(~got.eqNullSafe(want)).collect() == []
+    assert 50 < df.where(T.is_spam(F.lower("t"))).count() < 600
+    assert "contains" in T.clean_post(F.col("t"))._jc.toString().lower()
+    lists = [[rng.choice("abc" if i % 2 else "abcdef") for _ in range(i % 40)] + ["x"] * (i % 13) for i in range(400)]
+    got = spark.createDataFrame(list(enumerate(lists)), "i int, w array<string>").select("i", T.bind(F.col("w"), T.repetitive).alias("r")).collect()
+    want = {i: len(w) > 10 and 10 * max(map(w.count, w)) > 3 * len(w) for i, w in enumerate(lists)}
+    assert {r["i"]: r["r"] for r in got} == want and len(set(want.values())) == 2

@@ -6,6 +6,7 @@ letters, numbers and underscore, and only a line feed ends a line.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -36,6 +37,8 @@ POST_RULES = [
     (r"\n+", " "),
     (f"{WS}+", " "),
 ]
+#: What a text needs for a substitution of the post cleaner to find anything (None: tried on all): texts without it are not scanned.
+POST_NEEDS = ["[deleted]", "[removed]", "&gt;!", "&gt;", "http", "/u/", "/r/", "u/", "r/", "**", "*", "~~", "^", "edit", "update", "\n", None]
 # The substitutions of the large-dump cleaner, after white space is collapsed.
 DUMP_RULES = [
     (r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+", ""),
@@ -52,6 +55,8 @@ SPAM = [
     r"limited.{0,10}time.{0,10}offer",
     r"(make|earn).{0,10}money.{0,10}(fast|quick|easy)",
 ]
+#: Of each spam pattern the words, of which a text needs one of each group.
+SPAM_NEEDS = [re.findall(r"\(([a-z|]+)\)|([a-z]{4,})", pattern) for pattern in SPAM]
 
 
 def strip(text: Column) -> Column:
@@ -85,7 +90,22 @@ def word_count(text: Column) -> Column:
 
 def clean_post(text: Column) -> Column:
     """The post cleaner: fixed substitutions in order, then strip; null and empty give the empty string."""
-    return strip(reduce(lambda t, rule: F.regexp_replace(t, *rule), POST_RULES, F.coalesce(text, F.lit(""))))
+    out = F.coalesce(text, F.lit(""))
+    for rule, need in zip(POST_RULES, POST_NEEDS, strict=True):
+        if need != "\n":  # the last rule replaces line feeds as well
+            out = F.regexp_replace(out, *rule) if need is None else bind(out, _where_needed(rule, need))
+    return F.trim(out)  # spaces are the only white space by now
+
+
+def _where_needed(rule: tuple[str, str], need: str) -> Callable[[Column], Column]:
+    return lambda t: F.when(_has(t, need), F.regexp_replace(t, *rule)).otherwise(t)
+
+
+def _has(text: Column, need: str) -> Column:
+    """Whether a text may hold what a rule looks for; rules without regard to case take the two other letters I as well."""
+    if need == "edit":
+        return F.lower(text).contains(need) | text.contains("\u0130") | text.contains("\u0131")
+    return (F.lower(text) if need == "update" else text).contains(need)
 
 
 def clean_dump(text: Column) -> Column:
@@ -97,7 +117,7 @@ def clean_dump(text: Column) -> Column:
 
 def key_post(title: Column, body: Column) -> Column:
     """Hash of lower-cased title and body with white space collapsed."""
-    return F.md5(collapse(strip(F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(body, F.lit("")))))).cast("binary"))
+    return F.md5(F.trim(collapse(F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(body, F.lit("")))))).cast("binary"))
 
 
 def key_dump(text: Column) -> Column:
@@ -112,18 +132,25 @@ def key_training(text: Column) -> Column:
 
 
 def is_spam(text: Column) -> Column:
-    return text.rlike("(?d)" + "|".join(SPAM))
+    """Each pattern is tried where its words are in the text at all; ``text`` should be bound."""
+    any_of = lambda group: reduce(Column.__or__, [text.contains(w) for w in group])
+    found = [reduce(Column.__and__, [any_of((a or b).split("|")) for a, b in needs]) & text.rlike(f"(?d){pattern}") for pattern, needs in zip(SPAM, SPAM_NEEDS, strict=True)]
+    return reduce(Column.__or__, found)
+
 
+def repetitive(found: Column) -> Column:
+    """Whether one of more than ten words makes up more than three tenths of them; ``found`` should be bound.
 
-def most_frequent(found: Column) -> Column:
-    """Count of the most frequent word: run lengths over the sorted words."""
+    Among the sorted words such a word fills more than ``step`` places in a row, so one of every ``step``-th place is its own.
+    """
+    step, many = F.floor(3 * F.size(found) / 10).cast("int"), F.size(found) > 10
 
-    def step(a: Column, w: Column) -> Column:
-        run = F.when(w == a["w"], a["run"] + 1).otherwise(1)
-        return F.struct(w.alias("w"), run.alias("run"), F.greatest(a["top"], run).alias("top"))
+    def fills(ordered: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(ordered) - 1, step)
+        far = lambda w: F.get(ordered, (F.array_position(ordered, w) - 1).cast("int") + step)
+        return F.exists(places, lambda at: bind(F.get(ordered, at), lambda w: F.coalesce(far(w) == w, F.lit(False))))
 
-    first = F.struct(F.lit("").alias("w"), F.lit(0).alias("run"), F.lit(0).alias("top"))
-    return F.aggregate(F.sort_array(found), first, step, lambda a: a["top"])
+    return F.when(many, bind(F.sort_array(found), fills)).otherwise(False)
 
 
 def tiers(value: Column, table: list[tuple[int, int]]) -> Column:

@@ -16,7 +16,7 @@ def quality_reason(title: Column, body: Column, total_words: Column, body_words:
     gone = ((body == "") | F.lower(body).isin(*T.GONE)) & ((title == "") | (F.length(title) < 10))
 
     def by_content(content: Column) -> Column:
-        repetitive = T.bind(T.words(content), lambda found: (F.size(found) > 10) & (10 * T.most_frequent(found) > 3 * F.size(found)))
+        repetitive = T.bind(T.words(content), T.repetitive)
         return (
             F.when(T.is_spam(content), "spam_pattern").when(repetitive, "repetitive").when(score < -10, "heavily_downvoted")
             .when(~is_self & (body_words < 20), "link_post_short_text").otherwise(KEPT)
