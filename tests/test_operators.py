@@ -223,6 +223,16 @@ def test_bpe(spark):
         assert model.decode(r["input_ids"]) == r["text"]
 
 
+def test_bpe_encodes_texts_without_tokens(spark):
+    from textmill import queries
+
+    frame = spark.createDataFrame([(1, "ab ab", 5), (2, "", 0), (3, None, None), (4, None, 3)], "doc_id long, text string, n_chars long")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(queries, "documents", lambda *_: frame)
+        rows = queries.QUERIES["bpe_encode"](spark, "").orderBy("doc_id").collect()
+    assert [tuple(r) for r in rows] == [(1, 3, 1.666667), (2, 0, None), (3, 0, None), (4, 0, None)]
+
+
 def test_bpe_counts_every_type(spark):
     from collections import Counter
 

@@ -420,7 +420,7 @@ def bpe_train(spark, sf_dir):
 def bpe_encode(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text", "n_chars")
     out = bpe.encode(docs, "text", bpe.train(docs, "text", VOCABULARY), ["doc_id", "n_chars"])
-    return out.select("doc_id", F.size("input_ids").alias("tokens"), F.round(F.col("n_chars") / F.size("input_ids"), 6).alias("chars_per_token"))
+    return out.select("doc_id", F.size("input_ids").alias("tokens"), F.round(F.try_divide("n_chars", F.size("input_ids")), 6).alias("chars_per_token"))  # null without tokens
 
 
 # Fine-tuning --------------------------------------------------------------------------------------
